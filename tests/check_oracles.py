@@ -1,0 +1,42 @@
+"""Compare registered queries with their SQL: ``python tests/check_oracles.py [sf] [name prefix ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+sys.path.insert(0, str(ROOT / "tests"))
+
+import __spark_entry__ as contract  # noqa: E402
+from oracle import compare, connect  # noqa: E402
+
+from gridmart.session import build_session  # noqa: E402
+
+
+def main(sf: str = "0.01", *prefixes: str) -> int:
+    sf_dir = f"/root/testdata/sf{sf}"
+    spark = build_session(
+        master="local[8]", spark__driver__memory="16g", spark__ui__showConsoleProgress="false"
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    connection, oracles, wrong = connect(sf_dir), contract.oracle_sql(), 0
+    for name, query in contract.queries().items():
+        if prefixes and not name.startswith(prefixes):
+            continue
+        start = time.time()
+        try:
+            df = query(spark, sf_dir)
+            sql = oracles.get(name)
+            problem = compare(df, connection, sql) if sql else f"no SQL, {df.count()} rows"
+        except Exception as error:  # report all queries, then fail
+            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        wrong += problem is not None and not problem.startswith("no SQL")
+        print(f"{name:28s} {time.time() - start:6.2f}s {problem or 'equal'}", flush=True)
+    return wrong
+
+
+if __name__ == "__main__":
+    sys.exit(min(main(*sys.argv[1:]), 1))

@@ -1,0 +1,46 @@
+"""Run a registered query and its SQL on the same tables and compare all rows."""
+
+from __future__ import annotations
+
+import math
+from pathlib import Path
+
+import duckdb
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    connection.sql("SET TimeZone = 'UTC'")
+    for path in Path(sf_dir).glob("*.parquet"):
+        connection.sql(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _value(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return None
+    if isinstance(value, bool):
+        return value
+    if isinstance(value, (int, float)):
+        return float(f"{float(value):.12g}") + 0.0
+    return value if isinstance(value, str) else str(value)
+
+
+def _rows(columns: list[str], rows) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(_value(row[i]) for i in order) for row in rows), key=repr)
+
+
+def compare(df, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """Text of the first difference, or None when both results are equal."""
+    relation = connection.sql(sql)
+    if sorted(df.columns) != sorted(relation.columns):
+        return f"columns: {sorted(df.columns)} / {sorted(relation.columns)}"
+    ours = _rows(df.columns, df.collect())
+    expected = _rows(relation.columns, relation.fetchall())
+    if len(ours) != len(expected):
+        return f"rows: {len(ours)} / {len(expected)}"
+    for left, right in zip(ours, expected):
+        if left != right:
+            return f"{sorted(df.columns)}\n ours     {left}\n expected {right}"
+    return None
