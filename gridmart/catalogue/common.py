@@ -66,3 +66,8 @@ def plain(df: DataFrame) -> DataFrame:
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Round doubles whose last bits depend on the order of addition."""
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
+
+
+def half_up(sql: str, digits: int = 2) -> str:
+    """SQL that rounds a double the way Spark does: half up, on its shortest decimal text."""
+    return f"CAST(round(CAST(CAST({sql} AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)"

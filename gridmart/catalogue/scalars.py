@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.catalogue.common import money, plain, query, table
+from gridmart.catalogue.common import half_up, money, plain, query, table
 from gridmart.functions.casts import (
     as_date,
     as_double,
@@ -164,7 +164,7 @@ def slot_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q14_mix_coverage",
-    """
+    f"""
     WITH sums AS (
         SELECT strftime(o_orderdate, '%Y-%m') AS period, o_custkey AS customer,
                sum(CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS a,
@@ -176,8 +176,8 @@ def slot_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT period, CAST(customer AS DOUBLE) AS customer,
            CAST(coalesce(a,0) + coalesce(b,0) + coalesce(c,0) + coalesce(d,0) AS DOUBLE) AS renewable,
            CAST(e AS DOUBLE) AS other,
-           round(CAST(coalesce(a,0) + coalesce(b,0) + coalesce(c,0) + coalesce(d,0) AS DOUBLE)
-                 / nullif(CAST(e AS DOUBLE), 0) * 100, 2) AS coverage_pct
+           {half_up('''CAST(coalesce(a,0) + coalesce(b,0) + coalesce(c,0) + coalesce(d,0) AS DOUBLE)
+                       / nullif(CAST(e AS DOUBLE), 0) * 100''')} AS coverage_pct
     FROM sums
     """,
 )
