@@ -24,6 +24,6 @@ def energy_by_slot(
         readings.withWatermark(instant, lateness)
         .groupBy(*keys, F.window(instant, slot).alias("slot"))
         .agg(*measures)
-        .select(*keys, F.col("slot.start").alias("slot_start"), F.col("slot.end").alias("slot_end"), "*")
+        .withColumns({"slot_start": F.col("slot.start"), "slot_end": F.col("slot.end")})
         .drop("slot")
     )

@@ -19,7 +19,11 @@ from gridmart.session import build_session  # noqa: E402
 def main(sf: str = "0.01", *prefixes: str) -> int:
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_session(
-        master="local[8]", spark__driver__memory="16g", spark__ui__showConsoleProgress="false"
+        master="local[8]",
+        spark__driver__memory="16g",
+        spark__sql__shuffle__partitions="8",
+        spark__ui__showConsoleProgress="false",
+   
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracles, wrong = connect(sf_dir), contract.oracle_sql(), 0
