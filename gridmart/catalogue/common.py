@@ -42,6 +42,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table in fewer files than there are cores, over all of them, before costly work on each row.
+
+    Tables in many files are left as they are: their scan is parallel already.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def money(column: str) -> Column:
     """Two-digit amount as an exact decimal, so sums do not depend on the order of addition."""
     return F.col(column).cast("decimal(18,2)")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart import feeds
-from gridmart.catalogue.common import money, table
+from gridmart.catalogue.common import money, spread, table
 from gridmart.plans.silver import SLOT_FIELDS
 from gridmart.sources import bronze
 
@@ -19,10 +19,8 @@ EPOCH_2026 = 1767225600000000
 
 
 def _load_time(key: str, amount: str) -> Column:
-    """Different for all rows but exact copies: 100 seconds per order, microseconds by price."""
-    return F.timestamp_micros(
-        F.lit(EPOCH_2026) + F.col(key) * 100000000 + F.round(F.col(amount) * 100).cast("long")
-    )
+    """A time of its own for each version of a key: a second per order, microseconds by price."""
+    return F.timestamp_micros(F.lit(EPOCH_2026) + F.col(key) * 1000000 + F.round(F.col(amount) * 100).cast("long"))
 
 
 def _text(value: Column | str) -> Column:
@@ -35,7 +33,7 @@ def power_log(spark: SparkSession, sf_dir: str, one_region: bool = False) -> Dat
     Some consumptions are missing (slot published ahead), a word, or zero. ``one_region`` gives the slots
     the constraints ask for: region 52 alone, no zero.
     """
-    line, flag = table(spark, sf_dir, "lineitem"), F.col("l_returnflag")
+    line, flag = spread(table(spark, sf_dir, "lineitem")), F.col("l_returnflag")
     half_hours = F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int") * 30)
     slot = F.col("l_shipdate").cast("timestamp_ntz") + half_hours
     local = slot + F.expr("interval 1 hour")
@@ -89,7 +87,7 @@ def power_sql(one_region: bool = False) -> str:
                l_suppkey AS thermique, CAST(l_quantity * 20 AS BIGINT) AS eolien, l_linenumber * 50 AS solaire,
                CASE WHEN l_returnflag <> 'A' THEN l_suppkey END AS hydraulique, l_partkey AS bioenergies,
                l_tax AS tco_eolien, l_discount AS tch_solaire,
-               make_timestamp({EPOCH_2026} + l_orderkey * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT))
+               make_timestamp({EPOCH_2026} + l_orderkey * 1000000 + CAST(round(l_extendedprice * 100) AS BIGINT))
                    AS loaded
         FROM lineitem),
     slots AS (
@@ -119,7 +117,7 @@ SLOT_COLUMNS = [field.column for field in SLOT_FIELDS]
 def annual_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as yearly consumption: supplier is the commune, return flag the sector, price the energy."""
     flag, closed = F.col("l_returnflag"), F.col("l_linestatus") == "F"
-    records = table(spark, sf_dir, "lineitem").select(
+    records = spread(table(spark, sf_dir, "lineitem")).select(
         _text(F.year("l_shipdate")).alias("annee"),
         _text("l_suppkey").alias("code_commune"),
         F.concat(F.lit("Commune "), _text("l_suppkey")).alias("nom_commune"),
@@ -150,7 +148,7 @@ ANNUAL_SQL = f"""
                CASE l_linestatus WHEN 'F' THEN 'ENT' ELSE 'PRO' END AS categorie,
                CAST(l_quantity AS INTEGER) AS sites,
                CASE WHEN l_tax <> 0.08 THEN l_extendedprice END AS mwh,
-               make_timestamp({EPOCH_2026} + l_orderkey * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT))
+               make_timestamp({EPOCH_2026} + l_orderkey * 1000000 + CAST(round(l_extendedprice * 100) AS BIGINT))
                    AS loaded
         FROM lineitem),
     annual AS (
@@ -162,7 +160,7 @@ ANNUAL_SQL = f"""
 def index_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as revised observations of one series per priority; pending orders carry quarters."""
     day, status = F.col("o_orderdate"), F.col("o_orderstatus")
-    records = table(spark, sf_dir, "orders").select(
+    records = spread(table(spark, sf_dir, "orders")).select(
         F.when(F.col("o_orderpriority") == "1-URGENT", feeds.MART_INDEX_SERIES)
         .otherwise(F.col("o_orderpriority"))
         .alias("idbank"),
@@ -185,7 +183,7 @@ INDEX_SQL = f"""
         SELECT CASE o_orderpriority WHEN '1-URGENT' THEN '{feeds.MART_INDEX_SERIES}' ELSE o_orderpriority END AS idbank,
                'Série ' || o_orderpriority AS libelle, CAST(date_trunc('month', o_orderdate) AS DATE) AS mois,
                CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS valeur, o_orderstatus AS statut,
-               make_timestamp({EPOCH_2026} + o_orderkey * 100000000 + CAST(round(o_totalprice * 100) AS BIGINT))
+               make_timestamp({EPOCH_2026} + o_orderkey * 1000000 + CAST(round(o_totalprice * 100) AS BIGINT))
                    AS loaded
         FROM orders WHERE o_orderstatus <> 'P'),
     idx AS (
@@ -195,7 +193,7 @@ INDEX_SQL = f"""
 
 def survey_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as survey observations of one series per status; low-priority values are words."""
-    records = table(spark, sf_dir, "orders").select(
+    records = spread(table(spark, sf_dir, "orders")).select(
         F.when(F.col("o_orderstatus") == "F", feeds.MART_SURVEY_SERIES)
         .otherwise(F.col("o_orderstatus"))
         .alias("series_key"),
@@ -216,7 +214,7 @@ SURVEY_SQL = f"""
         SELECT CASE o_orderstatus WHEN 'F' THEN '{feeds.MART_SURVEY_SERIES}' ELSE o_orderstatus END AS cle,
                'Série ' || o_orderstatus AS libelle, CAST(date_trunc('month', o_orderdate) AS DATE) AS mois,
                CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS valeur,
-               make_timestamp({EPOCH_2026} + o_orderkey * 100000000 + CAST(round(o_totalprice * 100) AS BIGINT))
+               make_timestamp({EPOCH_2026} + o_orderkey * 1000000 + CAST(round(o_totalprice * 100) AS BIGINT))
                    AS loaded
         FROM orders),
     survey AS (
