@@ -191,15 +191,16 @@ INDEX_SQL = f"""
     """
 
 
-def survey_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as survey observations of one series per status; low-priority values are words."""
+def survey_log(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
+    """Orders as survey observations of one series per status; low-priority ones lack a value unless ``complete``."""
+    value = F.col("o_totalprice") if complete else F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice"))
     records = spread(table(spark, sf_dir, "orders")).select(
         F.when(F.col("o_orderstatus") == "F", feeds.MART_SURVEY_SERIES)
         .otherwise(F.col("o_orderstatus"))
         .alias("series_key"),
         F.concat(F.lit("Série "), F.col("o_orderstatus")).alias("title_fr"),
         F.date_format("o_orderdate", "yyyy-MM").alias("time_period"),
-        F.when(F.col("o_orderpriority") == "5-LOW", None).otherwise(F.col("o_totalprice")).alias("obs_value"),
+        value.alias("obs_value"),
         F.lit("A").alias("obs_status"),
         _load_time("o_orderkey", "o_totalprice").alias("_loaded"),
     )

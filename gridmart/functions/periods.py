@@ -43,10 +43,11 @@ def month_windows(spark: SparkSession, start: str, end: str) -> DataFrame:
     bounds = spark.range(1).select(
         F.lit(f"{start}-01").cast("date").alias("first"), F.lit(f"{end}-01").cast("date").alias("last")
     )
-    month = F.explode(F.sequence("first", "last", F.expr("interval 1 month")))
+    # a sequence cannot run backwards
+    month = F.explode(F.sequence("first", F.greatest("first", "last"), F.expr("interval 1 month")))
     return (
-        bounds.where("first <= last")
-        .select(month.alias("window_start"))
+        bounds.select(month.alias("window_start"), "last")
+        .where("window_start <= last")
         .select(
             period_text(F.col("window_start")).alias("label"),
             "window_start",

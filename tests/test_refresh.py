@@ -1,0 +1,89 @@
+"""Full rebuild on a small log: constraints, publication, gate."""
+
+from collections import Counter
+from datetime import timedelta
+
+import pytest
+from conftest import load_time
+from pyspark.sql import functions as F
+from test_models import CD, TR, observation, opinion, place, slot
+
+from gridmart import feeds
+from gridmart.operators.checks import QualityError
+from gridmart.plans.constraints import rules
+from gridmart.plans.refresh import power_freshness, rebuild
+from gridmart.session import scratch_path
+from gridmart.sources import bronze
+from gridmart.sources.tables import Layers, stager
+
+
+def test_there_are_101_constraints():
+    everything = rules()
+    assert Counter(r.kind for r in everything) == {
+        "not_null": 76, "unique": 9, "accepted_values": 9, "unique_combination": 6, "expression_is_true": 1,
+    }
+    assert sum(r.severity == "warn" for r in everything) == 2
+    layer = Counter(r.table.split("_")[0] for r in everything)
+    assert layer == {"raw": 12, "stg": 36, "mart": 53}
+
+
+@pytest.fixture
+def layers(spark, log):
+    layers = Layers(spark, scratch_path(spark, "layers"), base="ci", isolated=True)
+    loads = {
+        feeds.RAW_POWER: [
+            *[(CD, slot(f"2024-{m:02d}-05T{h:02d}:00:00", 1000 + h, eolien=100, solaire=h), load_time(1)) for m in (1, 2) for h in range(24)],
+            (TR, slot("2024-02-06T10:15:00", 900, feeds.NATURE_REALTIME, eolien=90), load_time(2)),
+        ],
+        feeds.RAW_ANNUAL: [("d", place(), load_time(1)), ("d", place(code_categorie_consommation="XXX"), load_time(1))],
+        feeds.RAW_INDEX: [("s", observation(f"2024-{m:02d}", 90 + m), load_time(1)) for m in (1, 2, 3)],
+        feeds.RAW_SURVEY: [("s", opinion(f"2024-{m:02d}", 100 + m), load_time(1)) for m in (1, 2, 3)],
+    }
+    for table, rows in loads.items():
+        layers.create_log(table)
+        bronze.append(log(*rows), layers.log_paths(table)[0])
+    return layers
+
+
+def test_rebuild_checks_and_exposes(spark, layers):
+    results = rebuild(layers, "build=1", stage=stager(spark, "means"))
+    assert results.count() == 101
+    failed = {(r.table_name, r.check_name): r.status for r in results.where("status <> 'pass'").collect()}
+    assert failed == {  # a new category is reported and does not stop the run
+        (feeds.ANNUAL, "accepted_values"): "warn", (feeds.INDUSTRIAL, "accepted_values"): "warn",
+    }
+    counts = {t: layers.table(layer, t).count() for layer, t in [("silver", feeds.SLOTS), ("gold", feeds.BALANCE), ("gold", feeds.MIX), ("gold", feeds.INDICATORS)]}
+    assert counts == {feeds.SLOTS: 49, feeds.BALANCE: 49, feeds.MIX: 2, feeds.INDICATORS: 2}
+    assert layers.schema("gold") == "ci_gold"
+    assert "utc_month" not in layers.table("silver", feeds.SLOTS).columns
+
+
+def test_loading_again_changes_nothing(spark, layers, log):
+    rebuild(layers, "build=1")
+    before = {t: layers.table("gold", t).collect() for t in (feeds.BALANCE, feeds.MIX, feeds.INDUSTRIAL)}
+    path = layers.log_paths(feeds.RAW_POWER)[0]
+    bronze.append(bronze.read(spark, path).withColumn("ingested_at", F.lit(load_time(9))), path)
+    rebuild(layers, "build=2")
+    for table, rows in before.items():
+        assert sorted(map(str, layers.table("gold", table).collect())) == sorted(map(str, rows))
+
+
+def test_failed_constraint_keeps_the_previous_build(layers, log):
+    rebuild(layers, "build=1")
+    foreign = slot("2024-02-07T10:00:00", 5, eolien=1, code_insee_region="53")
+    bronze.append(log((CD, foreign, load_time(3))), layers.log_paths(feeds.RAW_POWER)[0])
+    with pytest.raises(QualityError, match="code_insee_region"):
+        rebuild(layers, "build=2")
+    assert layers.table("silver", feeds.SLOTS).where("code_insee_region = '53'").count() == 0
+    by = ["code_insee_region"]
+    rebuild(layers, "build=3", rules(["52", "53"], by), by=by)
+    assert layers.table("silver", feeds.SLOTS).where("code_insee_region = '53'").count() == 1
+    assert layers.table("gold", feeds.INDICATORS).groupBy("annee", "mois").count().agg(F.max("count")).first()[0] == 2
+
+
+def test_freshness_of_the_power_log(layers):
+    statuses = {
+        minutes: power_freshness(layers, load_time(2) + timedelta(minutes=minutes)).first().status
+        for minutes in (60, 180, 25 * 60)
+    }
+    assert statuses == {60: "pass", 180: "warn", 25 * 60: "error"}
