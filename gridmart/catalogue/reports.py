@@ -16,10 +16,9 @@ from gridmart.catalogue.models import (
     indicator_mart,
     industrial_mart,
     mix_mart,
-    written_slots,
 )
 from gridmart.functions.casts import padded_code
-from gridmart.plans import reports
+from gridmart.plans import reports, silver
 from gridmart.sources.tables import stager
 
 INDUSTRY = f"WITH {derived.ANNUAL_SQL}, {INDUSTRIAL_SQL}"
@@ -133,7 +132,7 @@ def hourly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def hourly_renewable_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reports.hourly_renewable_profile(written_slots(spark, sf_dir)), 6, "taux_moyen")
+    return rounded(reports.hourly_renewable_profile(silver.power_slots(derived.power_log(spark, sf_dir))), 6, "taux_moyen")
 
 
 @query(
