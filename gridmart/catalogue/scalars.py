@@ -234,20 +234,24 @@ def period_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def monthly_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    power = F.floor("o_totalprice").cast("int")
-    joined = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    """Orders are summed per customer and month before the join: a customer with many orders shuffles few rows."""
+    power, urgent = F.floor("o_totalprice").cast("int"), F.col("o_orderpriority") == "1-URGENT"
+    year, month = F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
+    by_customer = (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", year, month)
+        .agg(
+            F.count("*").alias("n"), F.sum(power).alias("power"), F.sum(F.when(urgent, power)).alias("urgent_power")
+        )
     )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    joined = by_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return plain(
-        joined.groupBy(
-            F.year("o_orderdate").alias("year"),
-            F.month("o_orderdate").alias("month"),
-            F.col("c_nationkey").alias("place"),
-        ).agg(
+        joined.groupBy("year", "month", F.col("c_nationkey").alias("place")).agg(
             F.max("c_mktsegment").alias("label"),
-            F.count("*").alias("n_slots"),
-            energy_of_sum(power).alias("energy_mwh"),
-            energy_of_sum(F.when(F.col("o_orderpriority") == "1-URGENT", power)).alias("urgent_mwh"),
+            F.sum("n").alias("n_slots"),
+            energy_of_sum(F.col("power")).alias("energy_mwh"),
+            energy_of_sum(F.col("urgent_power")).alias("urgent_mwh"),
         )
     )
 
@@ -282,6 +286,31 @@ def complete_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "q17_complete_only",
+    """
+    WITH months AS (
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS first_day, count(DISTINCT CAST(o_orderdate AS DATE)) AS n,
+               sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amount
+        FROM orders GROUP BY 1)
+    SELECT strftime(first_day, '%Y-%m') AS period, CAST(n AS DOUBLE) AS n_days, CAST(amount AS DOUBLE) AS amount
+    FROM months WHERE n = day(last_day(first_day)) - CASE month(first_day) WHEN 2 THEN 1 ELSE 0 END
+    """,
+)
+def complete_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trends over complete months only: one slot per day, one day missing every February."""
+    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day"))
+    months = (
+        days.agg(F.sum(money("o_totalprice")).alias("amount"))
+        .groupBy(F.trunc("day", "month").alias("first_day"))
+        .agg(F.count("*").alias("n_days"), F.sum("amount").alias("amount"))
+    )
+    complete = F.col("n_days") == slots_expected(F.col("first_day"), slots_per_day=1, missing={2: 1})
+    return plain(
+        months.where(complete).select(period_text(F.col("first_day")).alias("period"), "n_days", "amount")
+    )
+
+
 @query(
     "q18_surrogate_key",
     """

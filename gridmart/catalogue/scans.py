@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.catalogue.common import money, plain, query, table
+from gridmart.functions.casts import as_double, as_int
 from gridmart.functions.periods import load_label, month_windows, period_text
-from gridmart.functions.slices import in_last_minutes, in_series, on_local_day
+from gridmart.functions.slices import in_last_minutes, in_series, in_window, on_local_day
 from gridmart.operators.parse import Field, parse_records
-from gridmart.functions.casts import as_double, as_int
 from gridmart.sources import bronze, landed
 
 LOADED_AT = datetime(2026, 10, 6, 4, 0, tzinfo=timezone.utc)
@@ -76,6 +76,18 @@ def recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.where(in_last_minutes(F.col("slot"), now, 120)).select("event_id", "event_type")
 
 
+@query(
+    "q03_range_scan",
+    """
+    SELECT event_id, event_type, value FROM events
+    WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'
+    """,
+)
+def range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    window = in_window(F.col("ts"), date(2024, 1, 10), date(2024, 1, 12), "timestamp_ntz")
+    return table(spark, sf_dir, "events").where(window).select("event_id", "event_type", "value")
+
+
 @query(
     "q04_pages_union",
     """
@@ -85,7 +97,7 @@ def recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def pages_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of at most 1 000 records each, read back as one set of records."""
+    """Pages of at most 1 000 records each (order keys are unique), read back as one set of records."""
     record = F.to_json(
         F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
                  money("o_totalprice").cast("string").alias("amount"))

@@ -12,6 +12,7 @@ from gridmart.operators.align import common_periods
 from gridmart.operators.change import month_over_month
 from gridmart.operators.dedup import best_version
 from gridmart.operators.groupmean import gap_to_group_mean
+from gridmart.sources.tables import stager
 
 LINE = ["l_orderkey", "l_linenumber"]
 # Total order of the versions of a line: rows equal in all of these columns are the same version
@@ -152,5 +153,5 @@ def month_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
         percent_of(F.col("value"), F.get_json_object("props", "$.k").cast("int")).alias("coverage"),
     )
     groups = {"group_user": F.col("user_id"), "group_month": F.col("month")}
-    compared = gap_to_group_mean(rates, "coverage", groups, "gap_pct")
+    compared = gap_to_group_mean(rates, "coverage", groups, "gap_pct", stager(spark, "means"))
     return plain(compared.select("event_id", "coverage", "gap_pct"))

@@ -27,3 +27,14 @@ def test_no_python_in_any_plan(spark, plan):
     for name in ("silver_power_slots", "silver_annual_consumption", "gold_regional_mix", "q22_calendar_change", "q32_sdmx_flatten"):
         text = plan(contract.queries()[name](spark, SF_DIR))
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text and "CartesianProduct" not in text
+
+
+def test_range_scan_is_pushed_down(spark, plan):
+    text = plan(contract.queries()["q03_range_scan"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(ts," in text and "LessThan(ts," in text
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in text
+
+
+def test_month_deviation_does_not_shuffle_rows(spark, plan):
+    text = plan(contract.queries()["q24_month_deviation"](spark, SF_DIR))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
