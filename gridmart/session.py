@@ -24,13 +24,35 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "gridmart", master: str | None = None, **conf: str) -> SparkSession:
-    """Session for a job of this package; ``conf`` keys use ``__`` for dots."""
+SHUFFLE_PARTITION_BYTES = 256 * 1024**2
+SHUFFLE_PARTITIONS = (200, 50_000)
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions for the largest shuffle of a job, about 256 MB each.
+
+    AQE merges partitions that turn out small and splits skewed ones, but it cannot add any for a shuffle that is
+    large throughout, so a job over much data has to start with enough. Beyond the upper bound, where the
+    number of shuffle blocks itself becomes the cost, partitions grow and spill.
+    """
+    least, most = SHUFFLE_PARTITIONS
+    return max(least, min(most, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)))
+
+
+def build_session(
+    app_name: str = "gridmart", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Session for a job of this package; ``conf`` keys use ``__`` for dots.
+
+    ``shuffle_bytes`` estimates the largest shuffle: for a rebuild, the typed slots after one version per
+    task was kept, a fraction of the log.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    sized = {"spark.sql.shuffle.partitions": str(shuffle_partitions(shuffle_bytes))} if shuffle_bytes else {}
     overrides = {key.replace("__", "."): value for key, value in conf.items()}
-    for key, value in {**DEFAULTS, **PINNED, **overrides}.items():
+    for key, value in {**DEFAULTS, **PINNED, **sized, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions import casts, energy, periods, slices
 from gridmart.functions.keys import NULL_MEMBER, surrogate_key
+from gridmart.session import shuffle_partitions
 
 
 def one(spark, column):
@@ -181,3 +182,7 @@ def test_day_and_year_slices(spark):
     rows = spark.createDataFrame([("52", "2026-10-05", "2023"), ("53", "2026-10-05", "2023"), ("52", "2026-10-06", "2024")], "r string, d string, y string")
     assert rows.where(slices.on_local_day(F.col("r"), F.col("d"), "52", date(2026, 10, 5))).count() == 1
     assert rows.where(slices.in_region_year(F.col("r"), F.col("y"), "52", 2024)).count() == 1
+
+
+def test_shuffle_partitions_follow_the_size():
+    assert [shuffle_partitions(n) for n in (1, 10**12, 10**15)] == [200, 3726, 50_000]

@@ -171,3 +171,35 @@ def test_reconcile_shows_what_a_short_key_loses(spark):
     short = best_version(lines, ["commune"], [F.desc("mwh")])
     assert reconcile(lines, full, "mwh").first().lost == 0.0
     assert tuple(reconcile(lines, short, "mwh").first()) == (2, 1, 12.0, 7.0, 5.0)
+
+
+def hot(spark):
+    """A third of the rows share one key."""
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    return spark.range(0, 300_000, 1, 8).select(key.alias("k"), F.col("id").cast("double").alias("v"), F.col("id").alias("t"))
+
+
+def test_a_hot_key_sends_one_row_per_task(spark):
+    best = best_version(hot(spark), ["k"], [F.desc("t")])
+    assert best.count() == 200_001
+    assert best.where("k = -1").first().t == 299_997
+
+
+def test_a_hot_group_is_split_when_the_means_are_too_many_to_broadcast(spark, plan):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "300KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        gaps = gap_to_group_mean(hot(spark), "v", {"g": F.col("k")}, "gap", stager(spark, "means"))
+        total = gaps.agg(F.count("*"), F.count_if(F.col("gap") == 0))
+        assert tuple(total.collect()[0]) == (300_000, 200_004)  # four hot rows are within 0.005 % of their mean
+        assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -11,7 +11,7 @@ from test_models import CD, TR, observation, opinion, place, slot
 from gridmart import feeds
 from gridmart.operators.checks import QualityError
 from gridmart.plans.constraints import rules
-from gridmart.plans.refresh import power_freshness, rebuild
+from gridmart.plans.refresh import power_freshness, rebuild, silver_views
 from gridmart.session import scratch_path
 from gridmart.sources import bronze
 from gridmart.sources.tables import Layers, stager
@@ -81,6 +81,15 @@ def test_failed_constraint_keeps_the_previous_build(layers, log):
     assert layers.table("gold", feeds.INDICATORS).groupBy("annee", "mois").count().agg(F.max("count")).first()[0] == 2
 
 
+def test_silver_views_follow_the_log(spark, layers, log):
+    assert list(silver_views(layers)) == [feeds.SLOTS, feeds.MONTHS, feeds.ANNUAL, feeds.INDEX, feeds.SURVEY]
+    count = f"SELECT count(*) FROM {feeds.SLOTS} WHERE production_eolien_mw IS NOT NULL"
+    before = spark.sql(count).first()[0]
+    bronze.append(log((TR, slot("2024-02-08T10:15:00", 9, eolien=1), load_time(4))), layers.log_paths(feeds.RAW_POWER)[0])
+    silver_views(layers)
+    assert spark.sql(count).first()[0] == before + 1
+
+
 def test_freshness_of_the_power_log(layers):
     statuses = {
         minutes: power_freshness(layers, load_time(2) + timedelta(minutes=minutes)).first().status
