@@ -48,7 +48,7 @@ def spread(df: DataFrame) -> DataFrame:
     Tables in many files are left as they are: their scan is parallel already.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *df.columns) if len(df.inputFiles()) < cores else df
 
 
 def money(column: str) -> Column:

@@ -2,13 +2,14 @@ import hashlib
 import math
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridmart.functions import casts, energy, periods, slices
 from gridmart.functions.keys import NULL_MEMBER, surrogate_key
-from gridmart.session import shuffle_partitions
+from gridmart.session import shared_folder, shuffle_partitions
 
 
 def one(spark, column):
@@ -186,3 +187,16 @@ def test_day_and_year_slices(spark):
 
 def test_shuffle_partitions_follow_the_size():
     assert [shuffle_partitions(n) for n in (1, 10**12, 10**15)] == [200, 3726, 50_000]
+
+
+def fake_session(**conf):
+    settings = {key.replace("__", "."): value for key, value in conf.items()}
+    return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(applicationId="app-1"))
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    assert shared_folder(fake_session(spark__checkpoint__dir="s3a://b/shared/")) == "s3a://b/shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(fake_session(spark__master="yarn"))
+    local = fake_session(spark__master="local[2]")
+    assert shared_folder(local) == shared_folder(local)

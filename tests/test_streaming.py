@@ -9,6 +9,7 @@ from test_models import CD, CONSOLIDATED, FINAL, REALTIME, TR, slot
 from gridmart.plans import silver
 from gridmart.session import scratch_path
 from gridmart.sources import bronze, landed
+from gridmart.sources.tables import Layers
 from gridmart.streaming.loads import UNTIL_CAUGHT_UP, start_log_stream
 from gridmart.streaming.slots import FOLDER, merge_slots, read_slots, start_slot_stream
 from gridmart.streaming.windows import energy_by_slot
@@ -35,6 +36,19 @@ def test_landed_files_are_loaded_once_and_read_with_the_loads(spark, tmp_path):
     assert bronze.read(spark, log).count() == 5
 
 
+def test_a_log_holds_loads_and_streamed_records(spark, log):
+    layers = Layers(spark, scratch_path(spark, "layers"), base="streams", isolated=True)
+    layers.create_log("raw_x")
+    loads, streamed = layers.log_paths("raw_x")
+    rows = log((CD, {"i": 1}, load_time(1)), (TR, {"i": 2}, load_time(2)))
+    rows.write.parquet(landing := scratch_path(spark, "landing"))
+    stream = spark.readStream.schema(rows.schema).parquet(landing)
+    start_log_stream(stream, streamed, scratch_path(spark, "checkpoint"), UNTIL_CAUGHT_UP).awaitTermination()
+    bronze.append(rows, loads)
+    layers.create_log("raw_x")
+    assert layers.read_log("raw_x").count() == 4
+
+
 VERSIONS = [
     (CD, slot("2024-01-01T10:00:00", 1, FINAL), load_time(1)),
     (TR, slot("2024-01-01T10:15:00", None, REALTIME), load_time(1)),
