@@ -10,7 +10,7 @@ from gridmart.functions.energy import percent_of, version_rank
 from gridmart.functions.periods import period_text
 from gridmart.operators.align import common_periods
 from gridmart.operators.change import month_over_month
-from gridmart.operators.dedup import best_version
+from gridmart.operators.dedup import best_version, complete_rows
 from gridmart.operators.groupmean import gap_to_group_mean
 from gridmart.sources.tables import stager
 
@@ -37,7 +37,7 @@ def _newest(*first):
     """,
 )
 def latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").dropna(subset=LINE)
+    lines = complete_rows(table(spark, sf_dir, "lineitem"), LINE)
     return plain(best_version(lines, LINE, _newest()).select(*LINE, "l_partkey", "l_extendedprice", "l_shipdate"))
 
 
@@ -56,7 +56,7 @@ def latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def priority_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines without discount have no measure: they are dropped before they could hide another version."""
     measure = F.when(F.col("l_discount") > 0, F.col("l_extendedprice"))
-    lines = table(spark, sf_dir, "lineitem").withColumn("measure", measure).dropna(subset=[*LINE, "measure"])
+    lines = complete_rows(table(spark, sf_dir, "lineitem").withColumn("measure", measure), [*LINE, "measure"])
     rank = version_rank(F.col("l_returnflag"), ("N", "A"))
     best = best_version(lines, LINE, _newest(rank))
     return plain(best.select(*LINE, "l_returnflag", "measure", "l_shipdate"))

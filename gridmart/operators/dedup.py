@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in which every one of the columns has a value; for stored columns the scan does it."""
+    return df.where(reduce(and_, [F.col(column).isNotNull() for column in columns]))
+
+
 def best_version(df: DataFrame, keys: Sequence[str | Column], best_first: Sequence[Column]) -> DataFrame:
     """Row of each key that sorts first; NULL key members are equal to each other.
 

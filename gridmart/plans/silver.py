@@ -20,7 +20,7 @@ from gridmart.functions.casts import (
 from gridmart.functions.energy import energy_of_sum, version_rank
 from gridmart.functions.keys import surrogate_key
 from gridmart.functions.periods import month_start, slots_expected
-from gridmart.operators.dedup import best_version
+from gridmart.operators.dedup import best_version, complete_rows
 from gridmart.operators.parse import Field, parse_records
 
 # Published key -> column of the table
@@ -94,7 +94,7 @@ def typed(bronze: DataFrame, fields: Sequence[Field], required: Sequence[str]) -
     The hash of the record settles ties between versions of one load, so every run picks the same one.
     """
     versions = parse_records(bronze, fields, (*_CARRY, F.xxhash64("payload").alias(VERSION)))
-    return versions.dropna(subset=list(required))
+    return complete_rows(versions, required)
 
 
 def newest(versions: DataFrame, key: Sequence[str]) -> DataFrame:
