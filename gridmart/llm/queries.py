@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.llm import quality_rules as quality
 from gridmart.llm.common import ORACLES, QUERIES, query, table
 from gridmart.llm.line_dedup import line_dedup
 
@@ -30,3 +31,46 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup(docs, min_docs=10, min_chars=1, keep="none")
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+_SPACE = r"[\x20\x09-\x0D]+"
+
+
+def _sized(sql: str, pattern: str) -> str:
+    return f"length(regexp_replace({sql}, '{pattern}', '', 'g'))"
+
+
+_QUOTED = {k: getattr(quality, k).replace("'", "''") for k in ("WORD", "NOT_SYMBOL", "NOT_PUNCTUATION", "NOT_SEPARATOR", "LINE_END", "BOILERPLATE")}
+_SQL_WORDS = f"len(string_split_regex(regexp_replace(l, '^{_SPACE}|{_SPACE}$', '', 'g'), '{_SPACE}'))"
+_SQL_FAILS = f"""{_sized("l", _SPACE)} > 0 AND (
+    NOT regexp_matches(l, '{_QUOTED["LINE_END"]}')
+    OR ({_SQL_WORDS} >= 3 AND {_sized("l", _QUOTED["NOT_PUNCTUATION"])} > {quality.MAX_PUNCTUATION}::DOUBLE * {_sized("l", _SPACE)})
+    OR {_sized("l", _QUOTED["NOT_SEPARATOR"])} > {quality.MAX_SEPARATORS}::DOUBLE * {_SQL_WORDS}
+    OR regexp_matches(l, '{_QUOTED["BOILERPLATE"]}'))"""
+
+#: Measures, cleaned text and verdict of a table of documents, for the query and the pipeline.
+QUALITY_CTES = f"""
+q_split AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_QUOTED["WORD"]}') AS w,
+                   string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+q_windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], chr(10)) AS win
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM q_split WHERE len(w) >= 8)),
+q_again AS (SELECT doc_id, unnest(places) AS i FROM (SELECT doc_id, list(i) AS places FROM q_windows GROUP BY doc_id, win HAVING count(*) > 1)),
+q_covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM q_again) GROUP BY doc_id),
+q_lines AS (SELECT doc_id, t, w, list_filter(s, lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS worded,
+                   array_to_string(list_filter(s, lambda l: NOT ({_SQL_FAILS})), chr(10)) AS clean FROM q_split),
+q_measured AS (
+    SELECT doc_id, clean, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {_sized("t", _QUOTED["NOT_SYMBOL"])} AS n_symbols,
+           len(worded) - len(list_distinct(worded)) AS n_dup_lines, coalesce(q_covered.n, 0) AS n_repeat_words
+    FROM q_lines LEFT JOIN q_covered USING (doc_id)),
+quality AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+           NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+           AND 1 - {_sized("clean", _SPACE)}::DOUBLE / word_chars <= {quality.MAX_LOST} AS kept
+    FROM q_measured)
+"""
+QUALITY_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op8_quality_rules", f"WITH {QUALITY_CTES} SELECT {', '.join(QUALITY_COLUMNS)} FROM quality")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*QUALITY_COLUMNS)
