@@ -18,7 +18,7 @@ WINDOW = 8
 #: Rules for lines. The SQL of the query uses the same texts.
 NOT_PUNCTUATION = r"[^!-/:-@\[-`{-~]+"
 NOT_SEPARATOR = r"[^|»›•·]+"
-LINE_END = r"[.!?:;…。！？][\"')\]”’»]*[\x20\x09-\x0D]*\z"
+SENTENCE_END = r"[.!?:;…。！？][\"')\]”’»]*([\x20\x09-\x0D]|\z)"
 BOILERPLATE = (
     r"(?i)all rights reserved|privacy policy|terms of (use|service)|accept (all )?cookies|cookie (policy|settings)"
     r"|enable javascript|lorem ipsum|click here|sign up for|skip to (main )?content|powered by"
@@ -39,7 +39,7 @@ def line_fails(line: Column, separators: str = NOT_SEPARATOR) -> Column:
     """Whether a line breaks a rule; a blank line breaks none."""
     size = _left(line, r"[\x20\x09-\x0D]+")
     words = F.size(F.split(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+"))
-    unpunctuated = ~line.rlike(LINE_END)
+    unpunctuated = ~line.rlike(SENTENCE_END)
     dense = (words >= 3) & (_left(line, NOT_PUNCTUATION) > F.lit(MAX_PUNCTUATION) * size)
     navigation = _left(line, separators) > F.lit(MAX_SEPARATORS) * words
     return (size > 0) & (unpunctuated | dense | navigation | line.rlike(BOILERPLATE))
@@ -90,8 +90,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         F.filter("__lines", lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("__worded"),
         F.filter("__lines", lambda line: ~line_fails(line)).alias("__passed"),
     )
-    measured = with_repeat_words(hashed).select(
-        *carried(docs, *RESULTS),
+    measures = F.struct(
         F.col("__n").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         _left(text, NOT_SYMBOL).cast("long").alias("n_symbols"),
@@ -100,6 +99,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         (F.size("__lines") - F.size("__passed")).cast("long").alias("n_lines_removed"),
         F.array_join("__passed", "\n").alias("clean_text"),
     )
+    # A generator, so that a filter on a result is not rewritten in terms of the words and computed a second time.
+    measured = with_repeat_words(hashed).select(*carried(docs, *RESULTS), F.inline(F.array(measures)))
     left = _left(F.col("clean_text"), r"[\x20\x09-\x0D]+")
     lost = F.when(F.col("word_chars") == 0, F.lit(0.0)).otherwise(1 - left / F.col("word_chars"))
     judged = measured.withColumns({

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridmart.llm import quality_rules as quality
 from gridmart.llm.common import ORACLES, QUERIES, query, table
 from gridmart.llm.line_dedup import line_dedup
+from gridmart.llm.sharding import balanced_shards
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -40,10 +41,10 @@ def _sized(sql: str, pattern: str) -> str:
     return f"length(regexp_replace({sql}, '{pattern}', '', 'g'))"
 
 
-_QUOTED = {k: getattr(quality, k).replace("'", "''") for k in ("WORD", "NOT_SYMBOL", "NOT_PUNCTUATION", "NOT_SEPARATOR", "LINE_END", "BOILERPLATE")}
+_QUOTED = {k: getattr(quality, k).replace("'", "''") for k in ("WORD", "NOT_SYMBOL", "NOT_PUNCTUATION", "NOT_SEPARATOR", "SENTENCE_END", "BOILERPLATE")}
 _SQL_WORDS = f"len(string_split_regex(regexp_replace(l, '^{_SPACE}|{_SPACE}$', '', 'g'), '{_SPACE}'))"
 _SQL_FAILS = f"""{_sized("l", _SPACE)} > 0 AND (
-    NOT regexp_matches(l, '{_QUOTED["LINE_END"]}')
+    NOT regexp_matches(l, '{_QUOTED["SENTENCE_END"]}')
     OR ({_SQL_WORDS} >= 3 AND {_sized("l", _QUOTED["NOT_PUNCTUATION"])} > {quality.MAX_PUNCTUATION}::DOUBLE * {_sized("l", _SPACE)})
     OR {_sized("l", _QUOTED["NOT_SEPARATOR"])} > {quality.MAX_SEPARATORS}::DOUBLE * {_SQL_WORDS}
     OR regexp_matches(l, '{_QUOTED["BOILERPLATE"]}'))"""
@@ -74,3 +75,8 @@ QUALITY_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines"
 @query("op8_quality_rules", f"WITH {QUALITY_CTES} SELECT {', '.join(QUALITY_COLUMNS)} FROM quality")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*QUALITY_COLUMNS)
+
+
+@query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(table(spark, sf_dir, "documents"), shards=40)
