@@ -16,15 +16,17 @@ NOT_SYMBOL = r"[^#*$%&|<>]+"
 WINDOW = 8
 
 #: Rules for lines. The SQL of the query uses the same texts.
-NOT_PUNCTUATION = r"[^!-/:-@\[-`{-~]+"
+NOT_ORNAMENT = r"[^#*$%&|<>!@^~=+]+"
 NOT_SEPARATOR = r"[^|»›•·]+"
 SENTENCE_END = r"[.!?:;…。！？][\"')\]”’»]*([\x20\x09-\x0D]|\z)"
 BOILERPLATE = (
     r"(?i)all rights reserved|privacy policy|terms of (use|service)|accept (all )?cookies|cookie (policy|settings)"
     r"|enable javascript|lorem ipsum|click here|sign up for|skip to (main )?content|powered by"
 )
-MAX_PUNCTUATION = 0.2  # of a line's characters that are not blank
-MAX_SEPARATORS = 0.2  # separators for each word
+BOILERPLATE_CHARS = 200  # longer lines are prose, whatever phrase they hold
+ORNAMENT_CHARS = 20  # shorter lines are not judged by their share of ornaments
+MAX_ORNAMENTS = 0.08  # of a line's characters
+MAX_SEPARATORS = 0.03  # of a line's characters
 MAX_LOST = 0.5  # of a document's characters that are not blank
 
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "lost_share", "clean_text")
@@ -35,14 +37,14 @@ def _left(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, ""))
 
 
-def line_fails(line: Column, separators: str = NOT_SEPARATOR) -> Column:
+def line_fails(line: Column) -> Column:
     """Whether a line breaks a rule; a blank line breaks none."""
-    size = _left(line, r"[\x20\x09-\x0D]+")
-    words = F.size(F.split(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+"))
+    size = F.length(line)
     unpunctuated = ~line.rlike(SENTENCE_END)
-    dense = (words >= 3) & (_left(line, NOT_PUNCTUATION) > F.lit(MAX_PUNCTUATION) * size)
-    navigation = _left(line, separators) > F.lit(MAX_SEPARATORS) * words
-    return (size > 0) & (unpunctuated | dense | navigation | line.rlike(BOILERPLATE))
+    ornate = (size >= ORNAMENT_CHARS) & (_left(line, NOT_ORNAMENT) > F.lit(MAX_ORNAMENTS) * size)
+    navigation = _left(line, NOT_SEPARATOR) > F.lit(MAX_SEPARATORS) * size
+    boilerplate = (size <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE)
+    return line.rlike(r"[^\x20\x09-\x0D]") & (unpunctuated | ornate | navigation | boilerplate)
 
 
 def with_repeat_words(read: DataFrame) -> DataFrame:

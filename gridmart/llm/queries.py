@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm import quality_rules as quality
-from gridmart.llm.common import ORACLES, QUERIES, query, table
+from gridmart.llm.common import ORACLES, QUERIES, ROW, query, table
+from gridmart.llm.jaccard import similar_documents
 from gridmart.llm.line_dedup import line_dedup
 from gridmart.llm.sharding import balanced_shards
 
@@ -41,13 +42,12 @@ def _sized(sql: str, pattern: str) -> str:
     return f"length(regexp_replace({sql}, '{pattern}', '', 'g'))"
 
 
-_QUOTED = {k: getattr(quality, k).replace("'", "''") for k in ("WORD", "NOT_SYMBOL", "NOT_PUNCTUATION", "NOT_SEPARATOR", "SENTENCE_END", "BOILERPLATE")}
-_SQL_WORDS = f"len(string_split_regex(regexp_replace(l, '^{_SPACE}|{_SPACE}$', '', 'g'), '{_SPACE}'))"
-_SQL_FAILS = f"""{_sized("l", _SPACE)} > 0 AND (
+_QUOTED = {k: getattr(quality, k).replace("'", "''") for k in ("WORD", "NOT_SYMBOL", "NOT_ORNAMENT", "NOT_SEPARATOR", "SENTENCE_END", "BOILERPLATE")}
+_SQL_FAILS = f"""regexp_matches(l, '[^\\x20\\x09-\\x0D]') AND (
     NOT regexp_matches(l, '{_QUOTED["SENTENCE_END"]}')
-    OR ({_SQL_WORDS} >= 3 AND {_sized("l", _QUOTED["NOT_PUNCTUATION"])} > {quality.MAX_PUNCTUATION}::DOUBLE * {_sized("l", _SPACE)})
-    OR {_sized("l", _QUOTED["NOT_SEPARATOR"])} > {quality.MAX_SEPARATORS}::DOUBLE * {_SQL_WORDS}
-    OR regexp_matches(l, '{_QUOTED["BOILERPLATE"]}'))"""
+    OR (length(l) >= {quality.ORNAMENT_CHARS} AND {_sized("l", _QUOTED["NOT_ORNAMENT"])} > {quality.MAX_ORNAMENTS}::DOUBLE * length(l))
+    OR {_sized("l", _QUOTED["NOT_SEPARATOR"])} > {quality.MAX_SEPARATORS}::DOUBLE * length(l)
+    OR (length(l) <= {quality.BOILERPLATE_CHARS} AND regexp_matches(l, '{_QUOTED["BOILERPLATE"]}')))"""
 
 #: Measures, cleaned text and verdict of a table of documents, for the query and the pipeline.
 QUALITY_CTES = f"""
@@ -80,3 +80,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), shards=40)
+
+
+@query("op6_ngram_jaccard")
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents")).drop(*ROW)
