@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm import quality_rules as quality
 from gridmart.llm.common import ORACLES, QUERIES, ROW, query, table
+from gridmart.llm.decontaminate import leaks
 from gridmart.llm.jaccard import similar_documents
 from gridmart.llm.line_dedup import line_dedup
+from gridmart.llm.packing import pack
 from gridmart.llm.sharding import balanced_shards
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -85,3 +88,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_ngram_jaccard")
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents")).drop(*ROW)
+
+
+@query("op4_power_of_two_packing")
+def op4_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), longest=2048, end_id=1, tokens=False)
+
+
+@query("op7_template_decontamination")
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(*ROW)
