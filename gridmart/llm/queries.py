@@ -10,6 +10,7 @@ from gridmart.llm import quality_rules as quality
 from gridmart.llm.common import ORACLES, QUERIES, ROW, query, table
 from gridmart.llm.decontaminate import leaks
 from gridmart.llm.jaccard import similar_documents
+from gridmart.llm.licenses import license_scan
 from gridmart.llm.line_dedup import line_dedup
 from gridmart.llm.packing import pack
 from gridmart.llm.sharding import balanced_shards
@@ -99,3 +100,9 @@ def op4_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_template_decontamination")
 def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(*ROW)
+
+
+@query("op2_license_templates")
+def op2_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
