@@ -13,6 +13,7 @@ from gridmart.llm.jaccard import similar_documents
 from gridmart.llm.licenses import license_scan
 from gridmart.llm.line_dedup import line_dedup
 from gridmart.llm.packing import pack
+from gridmart.llm.sentence_dedup import repeated_spans
 from gridmart.llm.sharding import balanced_shards
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -106,3 +107,9 @@ def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op3_sentence_spans")
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeated_spans(docs).select(F.col(ROW[0]).alias("doc_id"), "start", "end", "first_doc_id")
