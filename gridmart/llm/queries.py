@@ -16,6 +16,7 @@ from gridmart.llm.packing import pack
 from gridmart.llm.pii import personal_data
 from gridmart.llm.sentence_dedup import repeated_spans
 from gridmart.llm.sharding import balanced_shards
+from gridmart.llm.weak_quality import weak_quality
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -121,3 +122,8 @@ def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
+
+
+@query("op5_weak_label_quality")
+def op5_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
