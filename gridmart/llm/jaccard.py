@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import ROW, arrow_batch, per_batch, row_key, rows, staged, texts
+from gridmart.llm.common import ROW, arrow_batch, per_batch, row_key, rows, staged, texts, with_row
 from gridmart.llm.components import components
 from gridmart.llm.shingles import MinHash, choose_bands, ngram_hashes, words_of
 
@@ -239,6 +239,12 @@ def similar_documents(docs: DataFrame, n: int = 5, threshold: Fraction = Fractio
     return _rows(docs, groups, linked)
 
 
+def first_of_each(docs: DataFrame, **options) -> DataFrame:
+    """One row of ``docs`` for each class of ``similar_documents``: that of the smallest doc_id, repeated rows once."""
+    firsts = similar_documents(docs, **options).where("is_first").select(*ROW)
+    return with_row(docs).join(firsts, list(ROW), "left_semi").dropDuplicates(list(ROW)).select(*docs.columns)
+
+
 def _rows(docs: DataFrame, groups: DataFrame, linked: DataFrame) -> DataFrame:
     """Nodes' classes and links brought back to documents."""
     nodes = groups.groupBy("node").agg(F.sum("repeats").alias("n_copies"), F.min(F.struct(*ROW)).alias("least"))
