@@ -45,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = leaks(docs, table(spark, sf_dir, "benchmark")).select(*ROW).distinct()
-    return with_row(docs).join(found, list(ROW), "left_anti").select(*docs.columns)
+    return with_row(docs, docs.columns).join(found, list(ROW), "left_anti").select("__in.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

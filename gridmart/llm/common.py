@@ -54,9 +54,14 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
-def with_row(docs: DataFrame) -> DataFrame:
-    """``docs`` with the two columns of ``row_key``."""
-    return docs.withColumns(dict(zip(ROW, row_key())))
+def boxed(columns: list[str]) -> Column:
+    """The columns as one, ``__in``, so that their names clash with none an operator uses; ``__in.*`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__in")
+
+
+def with_row(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of ``docs`` in a box, and the two columns of ``row_key``."""
+    return docs.select(boxed(columns), *row_key())
 
 
 def carried(docs: DataFrame, *results: str) -> list[str]:

@@ -242,7 +242,7 @@ def similar_documents(docs: DataFrame, n: int = 5, threshold: Fraction = Fractio
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of ``docs`` for each class of ``similar_documents``: that of the smallest doc_id, repeated rows once."""
     firsts = similar_documents(docs, **options).where("is_first").select(*ROW)
-    return with_row(docs).join(firsts, list(ROW), "left_semi").dropDuplicates(list(ROW)).select(*docs.columns)
+    return with_row(docs, docs.columns).join(firsts, list(ROW), "left_semi").dropDuplicates(list(ROW)).select("__in.*")
 
 
 def _rows(docs: DataFrame, groups: DataFrame, linked: DataFrame) -> DataFrame:

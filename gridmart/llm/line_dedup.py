@@ -182,7 +182,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str
         raise ValueError(f"keep: first or none, not {keep!r}")
     bitmaps = keep_bitmaps(docs, min_docs, min_chars, keep).select(*ROW, "keep_bitmap")
     passed = carried(docs, "n_lines", "n_dropped", "keep_bitmap")
-    joined = with_row(docs.select(*passed)).join(bitmaps, list(ROW), "left").select(*passed, "keep_bitmap")
+    joined = with_row(docs, passed).join(bitmaps, list(ROW), "left").select("__in.*", "keep_bitmap")
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, n_lines, n_dropped = [], [], []
@@ -201,5 +201,5 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str
         columns["text"] = pa.array(kept, pa.binary()).cast(pa.string())
         return arrow_batch(**columns, n_lines=pa.array(n_lines, pa.int64()), n_dropped=pa.array(n_dropped, pa.int64()), keep_bitmap=batch.column("keep_bitmap"))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.select(*passed).schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.drop("keep_bitmap").schema)
     return joined.mapInArrow(per_batch(apply), f"{fields}, n_lines long, n_dropped long, keep_bitmap binary")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import carried
+from gridmart.llm.common import boxed, carried
 
 #: Words, symbols and lines of the measures.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,7 +81,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     read = docs.select(
-        *carried(docs, *RESULTS),
+        boxed(carried(docs, *RESULTS)),
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("__words"),
         F.split(text, "\n", -1).alias("__lines"),
     )
@@ -95,14 +95,14 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     measures = F.struct(
         F.col("__n").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
-        _left(text, NOT_SYMBOL).cast("long").alias("n_symbols"),
+        _left(F.coalesce(F.col("__in.text"), F.lit("")), NOT_SYMBOL).cast("long").alias("n_symbols"),
         (F.size("__worded") - F.size(F.array_distinct("__worded"))).cast("long").alias("n_dup_lines"),
         F.col("__repeated").alias("n_repeat_words"),
         (F.size("__lines") - F.size("__passed")).cast("long").alias("n_lines_removed"),
         F.array_join("__passed", "\n").alias("clean_text"),
     )
     # A generator, so that a filter on a result is not rewritten in terms of the words and computed a second time.
-    measured = with_repeat_words(hashed).select(*carried(docs, *RESULTS), F.inline(F.array(measures)))
+    measured = with_repeat_words(hashed).select("__in", F.inline(F.array(measures)))
     left = _left(F.col("clean_text"), r"[\x20\x09-\x0D]+")
     lost = F.when(F.col("word_chars") == 0, F.lit(0.0)).otherwise(1 - left / F.col("word_chars"))
     judged = measured.withColumns({
@@ -110,4 +110,4 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         "lost_share": lost,
     })
     verdict = judged.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST))
-    return verdict.select(*carried(docs, *RESULTS), *RESULTS)
+    return verdict.select("__in.*", *RESULTS)

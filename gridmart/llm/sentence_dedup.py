@@ -144,7 +144,7 @@ def substring_dedup(docs: DataFrame, min_sentences: int = 2, min_words: int = 24
     passed = carried(docs, "removed")
     spans = repeated_spans(docs, min_sentences, min_words)
     per_row = spans.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end", "first_doc_id"))).alias("removed"))
-    joined = with_row(docs.select(*passed)).join(per_row, list(ROW), "left")
+    out = with_row(docs, passed).join(per_row, list(ROW), "left").select("__in.*", "removed")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept = []
@@ -156,6 +156,5 @@ def substring_dedup(docs: DataFrame, min_sentences: int = 2, min_words: int = 24
         columns = {c: batch.column(c) for c in passed} | {"text": pa.array(kept, pa.string())}
         return arrow_batch(**columns, removed=batch.column("removed"))
 
-    out = joined.select(*passed, "removed")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     return out.mapInArrow(per_batch(cut), fields)
