@@ -30,7 +30,7 @@ _ODD = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 #: Bits of the table, and of a part of it that Spark aggregates as one row.
 BITS, PART = 1 << 24, 1 << 15
-#: A window needs so many words that are not slots; an item with fewer cannot be told from chance.
+#: An item's window needs so many different words that are not slots; an item without one cannot be told from chance.
 MIN_LITERALS = 5
 
 _WINDOWS = "h long, pos int, slots array<long>"
@@ -63,12 +63,11 @@ class Templates:
     def __init__(self, lengths: list[int]) -> None:
         self.lengths, self.words = lengths, _Words()
 
-    def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Template words, slot contents (0 for a word that stays), and where in the text's words each stands."""
+    def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Template words, and what fills their slots (0 for a word that stays)."""
         split = text.split()
         coded = np.fromiter(map(self.words.__getitem__, split), np.uint64, len(split))
-        at = np.flatnonzero(coded)
-        coded = coded[at]
+        coded = coded[coded != 0]
         flags = coded & np.uint64(15)
         values = coded & ~np.uint64(15)
         number = (flags & np.uint64(1)) > 0
@@ -76,13 +75,12 @@ class Templates:
         name = ((flags & np.uint64(2)) > 0) & ~after((flags & np.uint64(4)) > 0, True)
         unit = ((flags & np.uint64(8)) > 0) & after(number, False)
         template = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, values)))
-        return template, np.where(number | unit | name, values | np.uint64(16), np.uint64(0)), at
+        return template, np.where(number | unit | name, values | np.uint64(16), np.uint64(0))
 
     def windows(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-        """For each length: hashes and positions of windows with enough words, the slots of the text, the length."""
-        template, slots, _ = self.tokens(text)
+        """For each length: the windows' hashes, the slots of the text, and its template words."""
+        template, slots = self.tokens(text)
         spread = mixed(template)
-        filled = np.concatenate([[0], np.cumsum(slots == 0)])
         for size in self.lengths:
             n = len(template) - size + 1
             if n < 1:
@@ -90,23 +88,30 @@ class Templates:
             hashes = np.full(n, size, np.uint64)
             for k in range(size):
                 hashes += spread[k : k + n] * _ODD[k]
-            enough = np.flatnonzero(filled[size:] - filled[:n] >= MIN_LITERALS)
-            yield mixed(hashes[enough]).view(np.int64), enough, slots, size
+            yield mixed(hashes).view(np.int64), slots, template, size
 
 
-def _window_table(df: DataFrame, ids: list, id_schema: str, lengths: list[int], bits: np.ndarray | None, whole: bool = False) -> DataFrame:
-    """Windows of each text: id columns, h, pos and the slot contents; with ``bits`` only those that the table knows."""
+def _telling(template: np.ndarray, slots: np.ndarray, size: int) -> np.ndarray:
+    """Windows of ``size`` with enough different words that are not slots."""
+    words = np.where(slots == 0, template, 0)
+    return np.array([at for at in range(len(words) - size + 1) if len(np.unique(w := words[at : at + size])) - (0 in w) >= MIN_LITERALS], np.int64)
+
+
+def _window_table(df: DataFrame, ids: list, id_schema: str, lengths: list[int], bits: np.ndarray | None = None) -> DataFrame:
+    """Windows of each text: id columns, h, pos and what fills the slots. With ``bits`` those that the table knows, else the telling ones."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(lengths)
         for batch in batches:
             index, hashes, places, filled = [], [], [], []
             for i, text in enumerate(texts(batch)):
-                for h, pos, slots, size in templates.windows(text):
-                    if bits is not None:
+                for h, slots, template, size in templates.windows(text):
+                    if bits is None:
+                        pos = _telling(template, slots, size)
+                    else:
                         low = h & (BITS - 1)
-                        known = np.flatnonzero((bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1)
-                        h, pos = h[known], pos[known]
+                        pos = np.flatnonzero((bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1)
+                    h = h[pos]
                     index += [i] * len(h)
                     hashes.append(h)
                     places += pos.tolist()
@@ -147,8 +152,8 @@ def _item_sizes(benchmark: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: float = 0.5) -> DataFrame:
     """A row for each distinct document and benchmark item that it holds.
 
-    Columns: doc_id, item_id, n_windows, cover (share of the item's template words inside matching windows), n_slots (slots
-    of the item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
+    Columns: doc_id, item_id, n_windows, cover (share of the item's template words inside matching windows; words that are
+    in no telling window do not count), n_slots (slots of the item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
     ``reparameterised`` if they differ by a one-to-one replacement; a match whose slots contradict each other is none.
     A pair counts from a cover of ``min_cover`` at one alignment. Items of 5 to ``window - 1`` words are one window;
     shorter ones match nothing.
@@ -160,8 +165,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: flo
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL").dropDuplicates()
     sizes = _item_sizes(items)
     short = [r.item_words for r in sizes.where(F.col("item_words").between(MIN_LITERALS, window - 1)).select("item_words").distinct().collect()]
-    item_windows = _window_table(items, ["item_id"], "item_id long", sorted({*short, window}), None)
+    item_windows = _window_table(items, ["item_id"], "item_id long", sorted({*short, window}))
     item_windows = item_windows.join(sizes, "item_id").where(F.size("slots") == F.least("item_words", F.lit(window)))
+    # A window that an item repeats stands for its first place, so a match is one row for each place in the document.
+    item_windows = item_windows.groupBy("item_id", "h").agg(F.min(F.struct("pos", "slots")).alias("at")).select("item_id", "h", "at.*")
+    covered = lambda pos, size: F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence(pos, pos + size - 1)))))
+    reach = item_windows.groupBy("item_id").agg(covered(F.col("pos"), F.size("slots")).alias("item_words"))
+    item_windows = item_windows.join(reach, "item_id")
     bits = _bit_table(item_windows)
 
     hits = _window_table(docs, row_key(), "__row_id long, __row_hash long", sorted({*short, window}), bits)
@@ -169,10 +179,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: flo
     matched = hits.distinct().join(theirs, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
     pair = [*ROW, "item_id", "item_words", "shift"]
     # At one shift every window stands once, so a group is no larger than an item.
-    covered = F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("item_pos", F.col("item_pos") + F.size("slots") - 1)))))
+    n_covered = covered(F.col("item_pos"), F.size("slots")).alias("n_covered")
     filled = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda s: s["i"] != 0)
     slots = F.array_distinct(F.flatten(F.collect_list(filled)))
-    grouped = matched.groupBy(*pair).agg(F.count("*").alias("n_windows"), covered.alias("n_covered"), slots.alias("slots"))
+    grouped = matched.groupBy(*pair).agg(F.count("*").alias("n_windows"), n_covered, slots.alias("slots"))
     column = lambda name: F.size(F.array_distinct(F.transform("slots", lambda s: s[name])))
     consistent = grouped.where((F.size("slots") == column("i")) & (F.size("slots") == column("d")))
     kind = F.when(F.exists("slots", lambda s: s["i"] != s["d"]), "reparameterised").otherwise("verbatim")
