@@ -36,7 +36,9 @@ _END = re.compile(rb"[.!?]\W*$", re.MULTILINE)
 _LINE = re.compile(rb"[^\s][^\n]*")
 #: How often a heuristic is taken to find its fault in bad and in good documents, before any are counted, and how many times
 #: the documents that counts for: what bad documents show is learned, that good ones hardly ever show it is given.
-PRIOR, STRENGTH = (0.2, 0.002), (0.1, 20)
+PRIOR, STRENGTH = (0.2, 0.002), (0.01, 20)
+#: Probability that a document without a fault is good.
+SEED = 0.99
 #: Slots of the hashed features, and those kept for the heuristics' own values, in steps.
 SLOTS, STEPS = 1 << 16, 8
 
@@ -77,12 +79,13 @@ def pattern(votes: np.ndarray) -> np.ndarray:
 def estimate(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float], np.ndarray]:
     """Probability that a pattern's documents are good, and how often each heuristic fires on bad and on good documents.
 
-    Votes are taken as independent within a class. It starts from: faulty, if any heuristic fires. Without the prior, faults
-    that never meet in one document would be shared out between the classes.
+    Votes are taken as independent within a class. Documents on which none fires are the seed of the good class and stay in
+    it; the others start as bad. Without seed and prior, faults that never meet in one document would be shared out
+    between the classes.
     """
     codes, n = np.array(list(counts), np.int64), np.array(list(counts.values()), float)
     cast = (codes[:, None] >> np.arange(len(LABELLERS))) & 1
-    good = np.where(cast.any(axis=1), 0.1, 0.9)
+    good = np.where(cast.any(axis=1), 0.1, SEED)
     fires = np.zeros((2, len(LABELLERS)))
     for _ in range(rounds):
         weights = np.stack([(1 - good) * n, good * n])
@@ -90,7 +93,7 @@ def estimate(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float
         fires = (weights @ cast + prior * np.array(PRIOR)[:, None]) / (weights.sum(axis=1, keepdims=True) + prior)
         share = np.clip(weights.sum(axis=1) / max(1.0, n.sum()), 1e-6, 1)
         logs = np.log(share)[:, None] + np.log(fires) @ cast.T + np.log(1 - fires) @ (1 - cast).T
-        after = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
+        after = np.where(cast.any(axis=1), 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500))), SEED)
         done = np.abs(after - good).max(initial=0) < 1e-9
         good = after
         if done:
