@@ -1,0 +1,82 @@
+"""The registered queries: those with SQL against it, the pipeline stage by stage against plain Python."""
+
+import re
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from gridmart.llm.common import table
+from gridmart.llm.queries import ORACLES, QUERIES
+from oracle import compare, connect
+from tokenizers import Tokenizer
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    assert compare(QUERIES[name](spark, SF_DIR), connect(SF_DIR), ORACLES[name]) is None
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+
+
+def test_heuristics_agree_with_held_out_labels(spark):
+    """The labels table is never trained on."""
+    sf_dir = "/root/testdata/sf0.01"
+    labels = dict(table(spark, sf_dir, "labels").select("doc_id", "quality").collect())
+    for name in ("op5_weak_label_quality", "op8_quality_rules"):
+        rows = [r for r in QUERIES[name](spark, sf_dir).collect() if r.doc_id in labels and r.n_words >= 20]
+        assert np.mean([r.kept == bool(labels[r.doc_id]) for r in rows]) > 0.97
+
+
+def test_pipeline(spark):
+    docs = table(spark, SF_DIR, "documents")
+    stages, columns = dict(corpus_pipeline.STAGES), docs.columns
+    results, at = {}, docs
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, SF_DIR)
+        at = spark.createDataFrame(at.collect(), at.schema)
+        results[name] = at
+        assert name == "packing" or at.columns == columns
+    texts = lambda name: {r.doc_id: r.text for r in results[name].collect()}
+    kept = {r.doc_id for r in QUERIES["op8_quality_rules"](spark, SF_DIR).collect() if r.kept}
+    clean, deduped = texts("quality rules"), texts("line dedup")
+    assert set(clean) == kept == set(deduped) and len(stages) == 5
+
+    holders = Counter(k for t in clean.values() for k in {x.strip().lower() for x in t.split("\n")} if k)
+    for i, t in clean.items():
+        assert deduped[i] == "\n".join(x for x in t.split("\n") if holders[x.strip().lower()] < 10)
+
+    word = re.compile(r"[^\W_]+")
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in deduped.items() if (w := word.findall(t.lower()))}
+    label = {i: i for i in deduped}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                old, new = label[b], label[a]
+                label = {i: new if x == old else x for i, x in label.items()}
+    firsts = set(texts("n-gram Jaccard join"))
+    groups = defaultdict(set)
+    for i, x in label.items():
+        groups[x].add(i)
+    assert all(len(g & firsts) == 1 for g in groups.values())
+
+    items = [w for (t,) in table(spark, SF_DIR, "benchmark").select("text").collect() if len(w := word.findall(t.lower())) >= 8]
+    holds = {i for i in firsts for w in items if " ".join(w) in " ".join(word.findall(deduped[i].lower()))}
+    clean_of_items = texts("benchmark decontamination")
+    assert not holds & set(clean_of_items) and len(firsts) - len(clean_of_items) <= len(holds) + 2
+
+    reference = Tokenizer.from_file(corpus_pipeline.TOKENIZER)
+    packed = defaultdict(list)
+    for r in results["packing"].collect():
+        packed[r.doc_id].append((r.start, bytes(r.tokens)))
+    for i, t in clean_of_items.items():
+        ids = np.array([*reference.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        assert b"".join(x for _, x in sorted(packed[i])) == ids.tobytes()
+
+
+def test_run_gives_the_stages_result(spark):
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
