@@ -43,12 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table in fewer files than there are cores, over all of them, before costly work on each row.
-
-    Tables in many files are left as they are: their scan is parallel already.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if len(df.inputFiles()) < cores else df
+    """A table in parts that AQE sizes, before costly work on each row: a single small file is one task otherwise."""
+    return df.hint("rebalance")
 
 
 def money(column: str) -> Column:

@@ -16,6 +16,10 @@ from gridmart.sources import bronze
 
 # 2026-01-01 00:00 UTC in microseconds
 EPOCH_2026 = 1767225600000000
+# Orders fill a run of half hours from here on, local time, so that months are complete; the hours that the
+# spring clock change skips have no consumption
+DENSE_FROM = "1996-01-01 00:00:00"
+SPRING_HOURS = ("1996-03-31 02:00:00", "1996-03-31 02:30:00")
 
 
 def _load_time(key: str, amount: str) -> Column:
@@ -28,11 +32,54 @@ def _text(value: Column | str) -> Column:
 
 
 def power_log(spark: SparkSession, sf_dir: str, one_region: bool = False) -> DataFrame:
-    """Lines as power slots: quantity is the half hour, price the consumption, return flag the nature.
+    """Lines as power slots: quantity is the half hour, price the consumption, return flag the nature; and orders as
+    consecutive slots of one region, which make up whole months.
 
     Some consumptions are missing (slot published ahead), a word, or zero. ``one_region`` gives the slots
     the constraints ask for: region 52 alone, no zero.
     """
+    return _line_log(spark, sf_dir, one_region).unionByName(_dense_log(spark, sf_dir))
+
+
+def _dense_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order number n as the n-th half hour from ``DENSE_FROM``."""
+    orders = spread(table(spark, sf_dir, "orders"))
+    number = F.col("o_orderkey").cast("int")
+    local = F.lit(DENSE_FROM).cast("timestamp_ntz") + F.make_dt_interval(mins=number * 30)
+    slot = local - F.expr("interval 1 hour")
+    price = _text(F.floor(F.col("o_totalprice") / 10))
+    records = orders.select(
+        F.lit("52").alias("code_insee_region"),
+        F.lit("Région 52").alias("libelle_region"),
+        F.lit(feeds.NATURE_FINAL).alias("nature"),
+        F.date_format(local, "yyyy-MM-dd").alias("date"),
+        F.date_format(local, "HH:mm").alias("heure"),
+        F.date_format(slot, "yyyy-MM-dd'T'HH:mm:ss").alias("date_heure"),
+        F.when(~F.date_format(local, "yyyy-MM-dd HH:mm:ss").isin(*SPRING_HOURS), price).alias("consommation"),
+        _text(F.col("o_custkey")).alias("thermique"),
+        (F.col("o_orderkey") % 50).cast("int").alias("eolien"),
+        _text(F.col("o_custkey") % 100).alias("solaire"),
+        _text(F.length("o_orderstatus")).alias("hydraulique"),
+        _text(F.length("o_orderpriority")).alias("bioenergies"),
+        F.lit("0.5").alias("tco_eolien"),
+        F.lit("0.25").alias("tch_solaire"),
+        F.lit(feeds.DATASET_CONSOLIDATED).alias("_dataset"),
+        _load_time("o_orderkey", "o_totalprice").alias("_loaded"),
+    )
+    return _enveloped(records)
+
+
+def _enveloped(records: DataFrame) -> DataFrame:
+    payload = bronze.record_json(records.drop("_dataset", "_loaded"))
+    return bronze.envelope(
+        records.select(payload.alias("payload"), F.col("date").alias("_day"), "_dataset", "_loaded"),
+        F.col("_dataset"),
+        F.col("_day"),
+        F.col("_loaded"),
+    )
+
+
+def _line_log(spark: SparkSession, sf_dir: str, one_region: bool) -> DataFrame:
     line, flag = spread(table(spark, sf_dir, "lineitem")), F.col("l_returnflag")
     half_hours = F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int") * 30)
     slot = F.col("l_shipdate").cast("timestamp_ntz") + half_hours
@@ -65,13 +112,7 @@ def power_log(spark: SparkSession, sf_dir: str, one_region: bool = False) -> Dat
         F.when(flag == "R", feeds.DATASET_REALTIME).otherwise(feeds.DATASET_CONSOLIDATED).alias("_dataset"),
         _load_time("l_orderkey", "l_extendedprice").alias("_loaded"),
     )
-    payload = bronze.record_json(records.drop("_dataset", "_loaded"))
-    return bronze.envelope(
-        records.select(payload.alias("payload"), F.col("date").alias("_day"), "_dataset", "_loaded"),
-        F.col("_dataset"),
-        F.col("_day"),
-        F.col("_loaded"),
-    )
+    return _enveloped(records)
 
 
 def power_sql(one_region: bool = False) -> str:
@@ -89,7 +130,15 @@ def power_sql(one_region: bool = False) -> str:
                l_tax AS tco_eolien, l_discount AS tch_solaire,
                make_timestamp({EPOCH_2026} + l_orderkey * 1000000 + CAST(round(l_extendedprice * 100) AS BIGINT))
                    AS loaded
-        FROM lineitem),
+        FROM lineitem
+        UNION ALL
+        SELECT '52', 'A', local_time - INTERVAL 1 HOUR,
+               CASE WHEN strftime(local_time, '%Y-%m-%d %H:%M:%S') NOT IN {SPRING_HOURS}
+                    THEN CAST(floor(o_totalprice / 10) AS BIGINT) END,
+               o_custkey, o_orderkey % 50, o_custkey % 100, length(o_orderstatus), length(o_orderpriority),
+               0.5, 0.25,
+               make_timestamp({EPOCH_2026} + o_orderkey * 1000000 + CAST(round(o_totalprice * 100) AS BIGINT))
+        FROM (SELECT *, TIMESTAMP '{DENSE_FROM}' + CAST(o_orderkey AS INTEGER) * INTERVAL 30 MINUTE AS local_time FROM orders)),
     slots AS (
         SELECT *, 'Région ' || region AS label, slot + INTERVAL 1 HOUR AS local_time,
                CASE flag WHEN 'R' THEN '{feeds.DATASET_REALTIME}' ELSE '{feeds.DATASET_CONSOLIDATED}' END AS dataset,

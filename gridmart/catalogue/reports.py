@@ -69,12 +69,11 @@ def sector_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {derived.power_sql()}, {derived.INDEX_SQL}, {derived.SURVEY_SQL}, {INDICATORS_SQL}
     SELECT CAST(count(*) AS DOUBLE) AS nb_mois, round(corr(conso, ipi), 9) AS correlation_ipi,
            round(corr(conso, bdf), 9) AS correlation_bdf
-    FROM joined
+    FROM joined WHERE complet
     """,
 )
 def indicator_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines never fill a month, so every month is taken as complete here."""
-    indicators = indicator_mart(spark, sf_dir).withColumn("est_mois_complet", F.lit(True))
+    indicators = indicator_mart(spark, sf_dir)
     return rounded(plain(reports.indicator_correlation(indicators)), 9, "correlation_ipi", "correlation_bdf")
 
 
@@ -100,11 +99,11 @@ def renewable_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {derived.power_sql()}, {MIX_SQL}
     SELECT CAST(count(*) AS DOUBLE) AS nb_mois, min(taux) AS taux_min, round(avg(taux), 6) AS taux_moyen,
            max(taux) AS taux_max
-    FROM mix
+    FROM mix WHERE complet
     """,
 )
 def coverage_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mix = mix_mart(spark, sf_dir).withColumn("est_mois_complet", F.lit(True))
+    mix = mix_mart(spark, sf_dir)
     return rounded(plain(reports.monthly_coverage_range(mix)), 6, "taux_moyen")
 
 

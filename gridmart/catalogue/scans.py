@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridmart.catalogue.common import money, plain, query, table
 from gridmart.functions.casts import as_double, as_int
 from gridmart.functions.periods import load_label, month_windows, period_text
-from gridmart.functions.slices import in_last_minutes, in_series, in_window, on_local_day
+from gridmart.functions.slices import in_last_minutes, in_series, in_window
 from gridmart.operators.parse import Field, parse_records
 from gridmart.sources import bronze, landed
 
@@ -49,8 +49,9 @@ def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    wanted = on_local_day(F.col("event_type"), F.col("day"), "click", date(2024, 1, 15))
+    """A day of a typed time is a half-open window, which the scan takes; the feed's own day is text (see the loads)."""
+    records = table(spark, sf_dir, "events")
+    wanted = (F.col("event_type") == "click") & in_window(F.col("ts"), date(2024, 1, 15), date(2024, 1, 16), "timestamp_ntz")
     return records.where(wanted).select("event_id", "user_id", "value")
 
 

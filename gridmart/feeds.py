@@ -30,9 +30,8 @@ DATASET_ANNUAL = "j75xc8cglfk5cp800y9uwqx9"
 DATASET_INDEX = "SERIES_BDM"
 DATASET_SURVEY = "CONJ2"
 
-# Region covered, and last year of the annual feed that is published
+# Region covered
 REGION_CODE = "52"
-LAST_ANNUAL_YEAR = 2024
 
 # Levels of consolidation of a power slot, best first
 NATURE_FINAL = "Données définitives"

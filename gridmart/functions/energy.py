@@ -18,8 +18,8 @@ def slot_minutes(dataset: Column) -> Column:
 
 
 def energy_of_slot(power: Column, minutes: Column) -> Column:
-    """Energy (MWh) of a power (MW) held for some minutes, as an exact decimal."""
-    return power * minutes / F.lit(Decimal("60.0"))
+    """Energy (MWh) of a power (MW) held for some minutes, as an exact decimal; no power of 32 bits overflows on the way."""
+    return ((power.cast("bigint") * minutes).cast("decimal(12,0)") / F.lit(Decimal("60.0"))).cast("decimal(17,6)")
 
 
 def energy_of_sum(power: Column, slot_hours: str = "0.5") -> Column:

@@ -62,7 +62,7 @@ def trailing_months(day: date, months: int = 3) -> tuple[str, str]:
     return f"{index // 12:04d}-{index % 12 + 1:02d}", f"{day:%Y-%m}"
 
 
-def annual_year_to_load(day: date, last_published: int = feeds.LAST_ANNUAL_YEAR) -> int:
+def annual_year_to_load(day: date, last_published: int) -> int:
     """Year before ``day``, but no later than the last one published."""
     return min(day.year - 1, last_published)
 

@@ -114,7 +114,7 @@ def slot_balance(slots: DataFrame, stage: Callable[[DataFrame], DataFrame] | Non
 
     ``slots`` is read twice (once for the monthly means), so pass a written table, not a plan over Bronze.
     """
-    produced = zero_filled_sum(*[F.col(f"production_{source}_mw") for source in feeds.SOURCES])
+    produced = zero_filled_sum(*[F.col(f"production_{source}_mw").cast("bigint") for source in feeds.SOURCES])
     power = slots.select(
         F.col("rte_ecomix_id").alias("tension_id"),
         F.col("horodatage_utc").alias("date_heure"),

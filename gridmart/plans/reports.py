@@ -85,7 +85,7 @@ def hourly_profile(balance: DataFrame) -> DataFrame:
 
 def hourly_renewable_profile(slots: DataFrame) -> DataFrame:
     """Mean renewable coverage of consumption by local hour."""
-    renewable = zero_filled_sum(*[F.col(f"production_{source}_mw") for source in feeds.RENEWABLES])
+    renewable = zero_filled_sum(*[F.col(f"production_{source}_mw").cast("bigint") for source in feeds.RENEWABLES])
     rate = percent_of(renewable, F.col("consommation_mw"))
     return slots.groupBy(F.substring("heure_locale", 1, 2).alias("heure_locale")).agg(F.avg(rate).alias("taux_moyen"))
 

@@ -26,18 +26,16 @@ DEFAULTS = {
 
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024**2
-SHUFFLE_PARTITIONS = (200, 50_000)
+LEAST_SHUFFLE_PARTITIONS = 200
 
 
 def shuffle_partitions(shuffle_bytes: int) -> int:
     """Partitions for the largest shuffle of a job, about 256 MB each.
 
     AQE merges partitions that turn out small and splits skewed ones, but it cannot add any for a shuffle that is
-    large throughout, so a job over much data has to start with enough. Beyond the upper bound, where the
-    number of shuffle blocks itself becomes the cost, partitions grow and spill.
+    large throughout, so a job over much data has to start with enough.
     """
-    least, most = SHUFFLE_PARTITIONS
-    return max(least, min(most, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)))
+    return max(LEAST_SHUFFLE_PARTITIONS, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(

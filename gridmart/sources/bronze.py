@@ -69,22 +69,17 @@ def envelope(
 
 
 def append(load: DataFrame, path: str) -> int:
-    """Append a load to the log and return its number of rows; an empty load touches nothing.
+    """Append a load to the log and return its number of rows; an empty load adds no file.
 
-    Files are laid out by dataset and day of load. A load repeated after a failure only adds versions that
-    the Silver step removes, so a load can always be run again.
+    The load is computed once: rows are counted as they are written. Files are laid out by dataset and day of load, and
+    the rows of a folder are gathered first, so a folder gets as many files as its size asks for and not one for each
+    task. A load repeated after a failure only adds versions that the Silver step removes, so a load can always be run
+    again.
     """
-    if load.isEmpty():
-        return 0
     rows = Observation()
-    (
-        stored(load)
-        .observe(rows, F.count(F.lit(1)).alias("n"))
-        .write.mode("append")
-        .partitionBy(*FOLDERS)
-        .parquet(path)
-    )
-    return rows.get["n"]
+    counted = stored(load).observe(rows, F.count(F.lit(1)).alias("n"))
+    counted.hint("rebalance", *FOLDERS).write.mode("append").partitionBy(*FOLDERS).parquet(path)
+    return rows.get.get("n", 0)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

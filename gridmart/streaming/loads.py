@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridmart.sources.bronze import FOLDERS, stored
+from gridmart import feeds
+from gridmart.functions.casts import as_instant
+from gridmart.operators.parse import json_texts
+from gridmart.sources.bronze import FOLDERS, envelope, stored
+from gridmart.sources.landed import export_records
 
 EVERY_QUARTER_HOUR = {"processingTime": "15 minutes"}
 UNTIL_CAUGHT_UP = {"availableNow": True}
@@ -30,3 +35,29 @@ def start_log_stream(
         .trigger(**(trigger or EVERY_QUARTER_HOUR))
         .start()
     )
+
+
+def recent_power(
+    documents: DataFrame,
+    minutes: int = 120,
+    now: Column | None = None,
+    region: str = feeds.REGION_CODE,
+    dataset: str = feeds.DATASET_REALTIME,
+) -> DataFrame:
+    """Bronze records of landed JSON-array exports (column ``document``, batch or stream): one region's last ``minutes``.
+
+    ``now`` is by default the time of the micro-batch. Records without a usable time are left out; a load is labelled
+    with the UTC day of its time.
+    """
+    now = F.current_timestamp() if now is None else now
+    records = json_texts(export_records(documents), ["code_insee_region", "date_heure"], ["payload"]).toDF("payload", "region", "instant")
+    start = as_instant(F.col("instant"))
+    wanted = records.where((F.col("region") == region) & (start >= now - F.make_dt_interval(mins=F.lit(minutes))) & (start < now))
+    return envelope(wanted.select("payload"), dataset, F.date_format(now, "yyyy-MM-dd"), now)
+
+
+def start_power_stream(
+    documents: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, minutes: int = 120
+) -> StreamingQuery:
+    """Landed exports to the log at ``path`` every quarter of an hour, cut to the last ``minutes``."""
+    return start_log_stream(recent_power(documents, minutes), path, checkpoint, trigger)
