@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from test_models import opinion, place, slot
-from test_sources import SDMX
+from test_sources import TWO_SETS, sdmx
 
 from gridmart import feeds
 from gridmart.plans import loads
@@ -37,20 +37,25 @@ def test_power_day(spark, layers):
     assert {r[:2] for r in logged(layers, feeds.RAW_POWER)} == {(feeds.DATASET_REALTIME, "2026-10-05")}
 
 
-def test_power_recent(spark, layers):
-    now = datetime(2026, 10, 6, 0, 20, tzinfo=timezone.utc)
-    rows = [slot((now - timedelta(minutes=m)).isoformat(), 1) for m in range(-30, 300, 15)]
-    broken = [{"code_insee_region": "52"}, {"code_insee_region": "52", "date_heure": "pas une date"}]
-    assert loads.load_power_recent(layers, records(spark, rows + broken), now, date(2026, 10, 5)) == 8
-    assert {r[1] for r in logged(layers, feeds.RAW_POWER)} == {"2026-10-05"}
+@pytest.mark.parametrize("minutes", [45, 200])
+def test_power_recent(spark, layers, minutes):
+    now = datetime(2021, 3, 1, 0, 5, tzinfo=timezone.utc)
+    times = [now + timedelta(minutes=m) for m in range(-400, 60, 9)]
+    rows = [slot(t.isoformat(), 1) for t in times] + [slot(t.isoformat(), 1, code_insee_region="11") for t in times]
+    unusable = [{"code_insee_region": "52"}, {"code_insee_region": "52", "date_heure": "demain"}]
+    inside = sum(now - timedelta(minutes=minutes) <= t < now for t in times)
+    assert loads.load_power_recent(layers, records(spark, rows + unusable), now, date(2021, 2, 28), minutes) == inside
+    assert {r[1] for r in logged(layers, feeds.RAW_POWER)} == {"2021-02-28"}
 
 
 def test_power_months(spark, layers):
-    times = ["2017-12-31T23:30:00", "2018-01-01T00:00:00", "2018-01-31T23:30:00", "2018-03-31T23:30:00", "2018-04-01T00:00:00"]
-    rows = records(spark, [slot(f"{t}+00:00", 1) for t in times])
-    assert loads.load_power_months(layers, rows, "2018-01", "2018-03") == 3
-    assert [r[1] for r in logged(layers, feeds.RAW_POWER)] == ["2018-01", "2018-01", "2018-03"]
-    assert loads.load_power_months(layers, rows, "2018-03", "2018-01") == 0
+    """Every slot is labelled with its UTC month, and only whole months between the two bounds are kept."""
+    times = [datetime(2022, 10, 30, tzinfo=timezone.utc) + timedelta(hours=7 * i) for i in range(500)]
+    rows = records(spark, [slot(t.isoformat(), 1) for t in times])
+    wanted = sorted(f"{t:%Y-%m}" for t in times if "2022-11" <= f"{t:%Y-%m}" <= "2023-01")
+    assert loads.load_power_months(layers, rows, "2022-11", "2023-01") == len(wanted)
+    assert sorted(r[1] for r in logged(layers, feeds.RAW_POWER)) == wanted
+    assert loads.load_power_months(layers, rows, "2023-01", "2022-11") == 0
 
 
 def test_annual(spark, layers):
@@ -61,10 +66,10 @@ def test_annual(spark, layers):
 
 @pytest.mark.parametrize(
     ("series", "bounds", "rows", "label"),
-    [(["1", "2"], (), 3, "full"), (["1"], ("2026-07", None), 1, "2026-07/"), (["1", "2"], (None, "2026-06"), 1, "/2026-06")],
+    [(["S7", "S9"], (), 4, "full"), (["S7"], ("2019-12", None), 1, "2019-12/"), (["S7", "S9"], (None, "2020-01"), 3, "/2020-01")],
 )
 def test_index(spark, layers, series, bounds, rows, label):
-    documents = spark.createDataFrame([(SDMX,)], "document string")
+    documents = spark.createDataFrame([(sdmx(TWO_SETS),)], "document string")
     assert loads.load_index(layers, documents, series, *bounds) == rows
     log = logged(layers, feeds.RAW_INDEX)
     assert {r[:2] for r in log} == {(feeds.DATASET_INDEX, label)}
@@ -72,7 +77,7 @@ def test_index(spark, layers, series, bounds, rows, label):
 
 
 def test_survey(spark, layers):
-    rows = [{**opinion(p, 98.5), "more": 1} for p in ("2024-01", "2024-02", "2024-03")] + [opinion("2024-02", 1, "other")]
+    rows = [{**opinion(p, 61.25), "more": 1} for p in ("2024-01", "2024-02", "2024-03")] + [opinion("2024-02", 1, "other")]
     assert loads.load_survey(layers, records(spark, rows), start="2024-02", end="2024-03") == 2
     log = logged(layers, feeds.RAW_SURVEY)
     assert {r[1] for r in log} == {"2024-02/2024-03"}

@@ -203,3 +203,12 @@ def test_a_hot_group_is_split_when_the_means_are_too_many_to_broadcast(spark, pl
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_month_over_month_with_a_null_key_and_a_repeated_month(spark):
+    rows = [(None, 1, 4.0), (None, 2, 5.0), ("a", 1, 2.0), ("a", 2, 3.0)]
+    df = spark.createDataFrame([(k, date(2024, m, 1), v) for k, m, v in rows], "k string, m date, v double")
+    got = {(r.k, r.m.month): r.c for r in month_over_month(df, "m", {"c": "v"}, ["k"]).collect()}
+    assert got == {(None, 1): None, (None, 2): 25.0, ("a", 1): None, ("a", 2): 50.0}
+    twice = month_over_month(df.union(df.where("k = 'a' AND month(m) = 1")), "m", {"c": "v"}, ["k"]).collect()
+    assert len(twice) == 5 and {r.c for r in twice if r.k == "a"} == {None}

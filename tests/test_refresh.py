@@ -55,7 +55,8 @@ def test_rebuild_checks_and_exposes(spark, layers):
     counts = {t: layers.table(layer, t).count() for layer, t in [("silver", feeds.SLOTS), ("gold", feeds.BALANCE), ("gold", feeds.MIX), ("gold", feeds.INDICATORS)]}
     assert counts == {feeds.SLOTS: 49, feeds.BALANCE: 49, feeds.MIX: 2, feeds.INDICATORS: 2}
     assert layers.schema("gold") == "ci_gold"
-    assert "utc_month" not in layers.table("silver", feeds.SLOTS).columns
+    slots = layers.table("silver", feeds.SLOTS)
+    assert slots.where("utc_month = '2024-02'").count() == 25 and slots.columns[-1] == "utc_month"
 
 
 def test_loading_again_changes_nothing(spark, layers, log):

@@ -1,7 +1,9 @@
 """Streams give what a rebuild from the whole log gives."""
 
 import json
+from datetime import timedelta
 
+import pytest
 from conftest import load_time
 from pyspark.sql import functions as F
 from test_models import CD, CONSOLIDATED, FINAL, REALTIME, TR, slot
@@ -10,8 +12,9 @@ from gridmart.plans import silver
 from gridmart.session import scratch_path
 from gridmart.sources import bronze, landed
 from gridmart.sources.tables import Layers
-from gridmart.streaming.loads import UNTIL_CAUGHT_UP, start_log_stream
-from gridmart.streaming.slots import FOLDER, merge_slots, read_slots, start_slot_stream
+from gridmart.streaming import slots as slots_module
+from gridmart.streaming.loads import UNTIL_CAUGHT_UP, recent_power, start_log_stream
+from gridmart.streaming.slots import compact_slots, merge_slots, read_slots, start_slot_stream
 from gridmart.streaming.windows import energy_by_slot
 
 
@@ -67,28 +70,63 @@ def rows(df):
 def test_micro_batches_equal_a_rebuild_and_replays_change_nothing(spark, log):
     path = scratch_path(spark, "store")
     batches = [log(*VERSIONS[i : i + 2]) for i in (0, 2, 4)]
-    for batch in batches:
-        merge_slots(batch, path)
     expected = rows(silver.power_slots(log(*VERSIONS)))
-    assert rows(read_slots(spark, path)) == expected
-    for batch in batches:
-        merge_slots(batch, path)
-    assert rows(read_slots(spark, path)) == expected
+    for _ in range(2):
+        for number, batch in enumerate(batches):
+            merge_slots(batch, path, number)
+        assert rows(read_slots(spark, path)) == expected
     assert read_slots(spark, path).columns == silver.power_slots(log(*VERSIONS)).columns
 
 
-def test_a_batch_leaves_other_days_alone(spark, log):
+def files(spark, path):
+    return {r.f for r in spark.read.parquet(f"{path}/batches").select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_a_batch_writes_nothing_but_its_own(spark, log):
+    path = scratch_path(spark, "store")
+    merge_slots(log(*VERSIONS), path, 0)
+    before = files(spark, path)
+    merge_slots(log((TR, slot("2024-01-02T10:30:00", 8, REALTIME), load_time(4))), path, 1)
+    assert before < files(spark, path)
+
+
+def test_a_batch_that_stops_midway_loses_nothing(spark, log):
+    """The second batch fails in a task after others have run; the first one's rows are there, and a replay completes it."""
     path = scratch_path(spark, "store")
-    merge_slots(log(*VERSIONS), path)
+    merge_slots(log(*VERSIONS[:2]), path, 0)
+    before = rows(read_slots(spark, path))
 
-    def files():
-        stored = spark.read.parquet(path).select(FOLDER, F.input_file_name().alias("f")).distinct()
-        return {str(r[FOLDER]): r.f for r in stored.collect()}
+    def broken(batches):
+        for batch in batches:
+            yield batch
+            raise RuntimeError("executor lost")
 
-    before = files()
-    merge_slots(log((TR, slot("2024-01-02T10:30:00", 8, REALTIME), load_time(4))), path)
-    after = files()
-    assert after["2024-01-01"] == before["2024-01-01"] and after["2024-01-02"] != before["2024-01-02"]
+    second = log(*VERSIONS[2:])
+    with pytest.raises(Exception, match="executor lost"):
+        merge_slots(second.mapInPandas(broken, second.schema), path, 1)
+    assert rows(read_slots(spark, path)) == before
+    merge_slots(second, path, 1)
+    assert rows(read_slots(spark, path)) == rows(silver.power_slots(log(*VERSIONS)))
+
+
+def test_compaction_changes_no_row_and_batches_go_on(spark, log, monkeypatch):
+    path = scratch_path(spark, "store")
+    for number, batch in enumerate((VERSIONS[:2], VERSIONS[2:4])):
+        merge_slots(log(*batch), path, number)
+    before = rows(read_slots(spark, path))
+    # It stops before the switch: the new folder is there and nobody reads it.
+    monkeypatch.setattr(slots_module, "_SWITCH", None)
+    with pytest.raises(Exception):
+        compact_slots(spark, path)
+    monkeypatch.undo()
+    assert rows(read_slots(spark, path)) == before
+    for _ in range(2):
+        compact_slots(spark, path)
+        assert rows(read_slots(spark, path)) == before
+    merge_slots(log(*VERSIONS[4:]), path, 2)
+    assert rows(read_slots(spark, path)) == rows(silver.power_slots(log(*VERSIONS)))
+    compact_slots(spark, path)
+    assert rows(read_slots(spark, path)) == rows(silver.power_slots(log(*VERSIONS)))
 
 
 def test_slot_stream(spark, log):
@@ -111,3 +149,34 @@ def test_windows_come_out_after_the_lateness(spark, tmp_path):
     run.trigger(**UNTIL_CAUGHT_UP).start().awaitTermination()
     got = spark.read.parquet(out).select(F.date_format("slot_start", "HH:mm").alias("s"), "mw").collect()
     assert {tuple(r) for r in got} == {("10:00", 8), ("10:15", 4)}
+
+
+def test_landed_exports_to_the_log_cut_to_the_last_minutes(spark, tmp_path):
+    """Files of JSON arrays land one after the other; each is loaded once, and only what began in the window."""
+    now = load_time(12)
+    landing, log, checkpoint = tmp_path / "in", scratch_path(spark, "log"), scratch_path(spark, "cp")
+    landing.mkdir()
+    for name, minutes in (("a", [1, 119, 121]), ("b", [0, 60, 300])):
+        records = [slot((now - timedelta(minutes=m)).isoformat(), 1) for m in minutes] + [{"code_insee_region": "52"}, slot(now.isoformat(), 1, code_insee_region="1")]
+        (landing / f"{name}.json").write_text(json.dumps(records, ensure_ascii=False))
+        documents = spark.readStream.format("text").option("wholetext", True).load(str(landing)).select(F.col("value").alias("document"))
+        stream = recent_power(documents, now=F.lit(now.isoformat()).cast("timestamp"))
+        start_log_stream(stream, log, checkpoint, UNTIL_CAUGHT_UP).awaitTermination()
+    assert bronze.read(spark, log).count() == 3
+    assert {(r.source_dataset, r.extracted_for) for r in bronze.read(spark, log).collect()} == {(TR, "2026-10-05")}
+
+
+def test_a_late_reading_leaves_the_windows_but_not_the_log(spark):
+    """The third file holds a reading of a slot that the watermark has closed."""
+    landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "out", "cp"))
+    got = []
+    for times in (["10:01", "10:20"], ["13:00"], ["10:05", "13:20"], ["17:00"]):
+        data = spark.createDataFrame([(f"2024-01-01 {t}:00", 4) for t in times], "t string, mw int")
+        data.select(F.col("t").cast("timestamp").alias("t"), "mw").write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("t timestamp, mw int").parquet(landing)
+        sums = energy_by_slot(stream, "t", [F.sum("mw").alias("mw")])
+        run = sums.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        run.trigger(**UNTIL_CAUGHT_UP).start().awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(out).select(F.date_format("slot_start", "HH:mm"), "mw").collect()}
+    assert got == {("10:00", 4), ("10:15", 4), ("13:00", 4), ("13:15", 4)}
+    assert spark.read.parquet(landing).count() == 6
