@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmart import feeds
@@ -38,7 +38,8 @@ def sector_shares(industrial: DataFrame) -> DataFrame:
     sectors = industrial.groupBy("code_secteur_naf2", "categorie_consommation").agg(
         F.sum("conso_mwh").alias("conso_mwh")
     )
-    everything = industrial.agg(F.sum("conso_mwh")).scalar()
+    # The whole is the sum of its sectors, of which there are a few hundred at most.
+    everything = F.sum("conso_mwh").over(Window.partitionBy(F.lit(0)))
     return sectors.withColumn("part_pct", percent_of(F.col("conso_mwh"), everything))
 
 
