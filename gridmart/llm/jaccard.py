@@ -98,7 +98,7 @@ def _by_group(blocks: DataFrame, key: str, work: Callable[[pa.RecordBatch], Iter
         if held:
             yield from work(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
-    return blocks.repartition(key, "x", "y").sortWithinPartitions(key, "x", "y").mapInArrow(stream, schema)
+    return blocks.repartition(key, "x", "y").sortWithinPartitions(key, "x", "y", "node").mapInArrow(stream, schema)
 
 
 def _meeting(batch: pa.RecordBatch) -> np.ndarray:
@@ -112,7 +112,7 @@ def _meeting(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
-    """Edges, fewer than nodes, that join what the pairs join."""
+    """Edges, fewer than nodes, that join what the pairs join; from the first nodes outward, so that groups that share nodes share edges."""
     linked = pairs | pairs.T
     seen, out = np.zeros(len(pairs), bool), []
     for root in np.flatnonzero(linked.any(axis=1)):
@@ -209,7 +209,8 @@ def similar_documents(docs: DataFrame, n: int = 5, threshold: Fraction = Fractio
     keyed = drawn.select("node", F.explode("keys").alias("key"))
     first = F.xxhash64("node")
     shared = keyed.groupBy("key").agg(F.min(first).alias("a"), F.max(first).alias("b")).where("a <> b").select("key")
-    members = staged(keyed.join(shared, "key", "left_semi").distinct(), "bucket_members")
+    # The keys are written, so that the join shuffles both sides, and a hot key's rows can be split.
+    members = staged(keyed.join(staged(shared, "shared_keys"), "key", "left_semi").distinct(), "bucket_members")
     sketch = drawn.join(members.select("node").distinct(), "node", "left_semi").select("node", "sketch").dropDuplicates(["node"])
     buckets = _blocks(members, "key", F.count("*") / BLOCK_NODES).join(sketch, "node")
     likely = components(staged(_by_group(buckets, "key", _likely(least), _EDGES), "likely_edges"))
