@@ -54,26 +54,27 @@ def propagate(cells: DataFrame, capacity: int, shards: int, rounds: int) -> Data
 
     Each round tallies a group's documents by shard, and every cell asks to move to the open shard that holds most of
     its group, if that holds more than its own shard does. A shard accepts as many documents as it has room for; where
-    more ask, a hash decides, for whole groups where they are small. Tallies break ties by shard number, so cells of
-    one group agree.
+    more ask, a hash decides, for whole groups where they are small. Ties in a tally are broken by a hash of group and shard:
+    cells of one group agree, and groups do not all favour the same shards.
     """
     state = staged(cells.withColumn("shard", F.col("__cell")), "shard_state")
     for number in range(rounds):
         room = [max(0, capacity - load) for load in _by_shard(state, F.col("n"), shards)]
-        tallies = state.groupBy(*GROUP, "shard").agg(F.sum("n").alias("held"))
+        summed = state.groupBy(*GROUP, "shard").agg(F.sum("n").alias("held"))
+        tallies = summed.select(*GROUP, "shard", F.struct("held", F.xxhash64(*GROUP, "shard").alias("tie"), "shard").alias("tally"))
         opened = tallies.where(_at(room, F.col("shard")) > 0)
-        best = opened.groupBy(*GROUP).agg(F.max(F.struct(F.col("held").alias("most"), (-F.col("shard")).alias("minus"))).alias("best"))
+        best = opened.groupBy(*GROUP).agg(F.max("tally").alias("best"))
         asking = (
             state.join(tallies, [*GROUP, "shard"])
             .join(best, list(GROUP))
-            .select(*GROUP, "__cell", "n", "total", F.col("shard").alias("own"), "held", F.col("best.most").alias("most"), (-F.col("best.minus")).alias("shard"))
-            .where((F.col("most") > F.col("held")) | ((F.col("most") == F.col("held")) & (F.col("shard") < F.col("own"))))
+            .where(F.col("best") > F.col("tally"))
+            .select(*GROUP, "__cell", "n", "total", F.col("best.shard").alias("shard"))
         )
         asked = _by_shard(asking, F.col("n"), shards)
         if not any(asked):
             break
         share = [min(1.0, r / a) if a else 0.0 for r, a in zip(room, asked)]
-        small = F.col("total") <= capacity // 20
+        small = F.col("total") <= max(shards, capacity // 20)
         accepted = asking.where(F.when(small, _draw(number, *GROUP)).otherwise(_draw(number, *GROUP, "__cell")) < _at(share, F.col("shard")))
         moved = accepted.select(*GROUP, "__cell", F.col("shard").alias("__to"))
         state = staged(
