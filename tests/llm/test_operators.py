@@ -342,8 +342,9 @@ def test_quality_lines_go_first(docs):
     assert got[1].kept and got[1].clean_text == clean and got[2].kept and got[2].clean_text == clean and got[2].n_lines_removed == 3 and not got[3].kept
 
 
-def test_native_plans(docs, plan):
-    for df in (quality_rules.quality_rules(docs([prose(1)])).where("kept"), sharding.balanced_shards(docs([prose(1)]), shards=2)):
+def test_native_plans(spark, plan):
+    data = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for df in (quality_rules.quality_rules(data).where("kept"), sharding.balanced_shards(data, shards=2)):
         text = plan(df)
         assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text and "NestedLoop" not in text
 
