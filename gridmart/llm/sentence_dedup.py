@@ -103,14 +103,16 @@ def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 24)
     """Row key, start, end (code points) and first_doc_id of each passage to cut: maximal, in no overlap.
 
     A run that stands elsewhere before, in doc_id, text hash and offset, is a later copy; sentences that any later copy
-    covers go. A passage's first_doc_id is the smallest id among the first places of its runs. Repeated rows are one document.
+    covers go. A passage's first_doc_id is the smallest id among the first places of its runs. Repeated rows are one document;
+    a null id counts as 0.
     """
     spans = staged(span_table(docs, min_sentences, min_words), "sentence_runs")
-    often = spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1")
+    # Keys are written, so that each join below shuffles both sides, and a hot key's rows can be split.
+    often = staged(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "repeated_keys")
     shared = staged(spans.join(often, "h1", "left_semi"), "shared_runs")
     place = F.struct(*ROW, "start")
     first = shared.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
-    later = shared.join(first, ["h1", "h2"]).where(place != F.col("first"))
+    later = shared.join(staged(first, "first_places"), ["h1", "h2"]).where(place != F.col("first"))
     covered = later.groupBy(*ROW).agg(F.sort_array(F.collect_set(F.struct("start", "end", F.col(f"first.{ROW[0]}").alias("id")))).alias("at"))
     return covered.mapInArrow(per_batch(_merged), "__row_id long, __row_hash long, start int, end int, first_doc_id long")
 
