@@ -20,10 +20,28 @@ from gridmart.llm.common import ROW, arrow_batch, carried, per_batch, row_key, r
 from gridmart.llm.shingles import mixed, words_of
 
 _BREAK = re.compile(r"\n\s*|[.!?…]+[\"')\]”’»]*\s+")
-_PIECE = re.compile(r"(?:\S+\s*){1,16}")
+_TOKEN = re.compile(r"\S+\s*")
 _SPANS = "h1 long, h2 long, __row_id long, __row_hash long, start int, end int, words int"
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-LONG_SENTENCE = 32  # words; a longer sentence is taken in pieces of 16
+LONG_SENTENCE = 32  # words; a longer sentence is taken in pieces
+NEAR = 2  # words on either side that decide whether a long sentence is cut after a word; pieces between such cuts have more
+LONG_PIECE = 12  # written words at most in a piece
+
+
+def _cuts(hashes: np.ndarray) -> np.ndarray:
+    """After which words a long sentence is cut: where a word's hash is the minimum of its neighbourhood, the first of equal ones.
+
+    The neighbourhood alone decides, so equal text is cut alike wherever it stands. Where no word is such a minimum for
+    long, cuts are counted from the last one.
+    """
+    n = len(hashes)
+    least = np.ones(n, bool)
+    for k in range(1, NEAR + 1):
+        least[k:] &= hashes[k:] < hashes[:-k]
+        least[:-k] &= hashes[:-k] <= hashes[k:]
+    own = np.concatenate([np.flatnonzero(least) + 1, [n]])
+    counted = [np.arange(a + LONG_PIECE, b, LONG_PIECE) for a, b in zip([0, *own[:-1]], own)]
+    return np.unique(np.concatenate([own, *counted]))
 
 
 def sentences(text: str) -> tuple[list[int], list[bytes], list[int]]:
@@ -33,12 +51,14 @@ def sentences(text: str) -> tuple[list[int], list[bytes], list[int]]:
     def add(start: int, end: int) -> None:
         words = words_of(text[start:end].encode())
         if len(words) > LONG_SENTENCE:
-            for piece in _PIECE.finditer(text, start, end):
-                words = words_of(piece[0].encode())
-                ends.append(piece.end())
+            # Marks that are no words go with the word before them.
+            tokens = [(t.start(), w) for t in _TOKEN.finditer(text, start, end) if (w := words_of(t[0].encode()))]
+            cuts = _cuts(np.array([xxhash.xxh3_64_intdigest(b" ".join(w)) for _, w in tokens], np.uint64)).tolist()
+            for a, b in zip([0, *cuts], cuts):
+                words = [x for _, w in tokens[a:b] for x in w]
+                ends.append(tokens[b][0] if b < len(tokens) else end)
                 folded.append(b" ".join(words))
                 counts.append(len(words))
-            ends[-1] = end
         else:
             ends.append(end)
             folded.append(b" ".join(words))
@@ -139,7 +159,7 @@ def substring_dedup(docs: DataFrame, min_sentences: int = 2, min_words: int = 24
     """``docs`` without the passages of ``repeated_spans``; added: ``removed``, the passages' starts, ends and first_doc_id.
 
     A null text stays null. Sentences end at a line feed, or at a sentence mark before white space; one of more than 32
-    words is taken in pieces of 16. Words are compared without case and punctuation. Texts with less than a run are left
+    words is taken in pieces of 12 words at most, cut where its words say so. Words are compared without case and punctuation. Texts with less than a run are left
     alone. Rows equal in doc_id and text are one document and get the same result. Input columns named like the result are
     replaced. An empty table gives an empty one.
     """

@@ -207,6 +207,16 @@ def test_substring_dedup(docs):
         assert row.text == want
 
 
+def test_runs_of_a_passage_inside_long_sentences():
+    """A passage without a sentence mark gives equal runs at every offset in the sentence around it."""
+    r = random.Random(1)
+    for n in range(20):
+        passage = " ".join(f"w{r.randrange(400)}" for _ in range(51))
+        around = lambda side, k: " ".join(f"{side}{n}x{i}" for i in range(k))
+        hashes = [set(sentence_dedup.runs(f"{around(f'b{o}', 40 + o)} {passage} {around(f'a{o}', 40)}", 2, 24)[0].tolist()) for o in range(16)]
+        assert all(hashes[0] & h for h in hashes[1:])
+
+
 def test_sentences_cover_the_text():
     for text in [prose(1), "a\n\n b.  c! d", "w " * 100, "...", " lead. end ", "one.two\nthree?\" four"]:
         ends, _, _ = sentence_dedup.sentences(text)
