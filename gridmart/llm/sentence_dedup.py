@@ -1,7 +1,7 @@
 """Substring dedup by sliding sentence spans: every run of consecutive sentences is hashed, and later copies are cut.
 
-A run begins at every sentence and is the shortest one from there with enough sentences and words, so equal passages give
-equal runs wherever they stand. Rows that move are hashes and offsets; text is read once to make them, and once more
+For every sentence two runs are hashed, the shortest that begins there and the shortest that ends there with enough
+sentences and words: equal passages give equal runs wherever they stand, and each sentence of a passage is in one of them. Rows that move are hashes and offsets; text is read once to make them, and once more
 only where passages are cut out.
 """
 
@@ -21,7 +21,7 @@ from gridmart.llm.shingles import mixed, words_of
 
 _BREAK = re.compile(r"\n\s*|[.!?…]+[\"')\]”’»]*\s+")
 _TOKEN = re.compile(r"\S+\s*")
-_SPANS = "h1 long, h2 long, __row_id long, __row_hash long, start int, end int, words int"
+_SPANS = "h1 long, h2 long, __row_id long, __row_hash long, start int, end int"
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 LONG_SENTENCE = 32  # words; a longer sentence is taken in pieces
 NEAR = 2  # words on either side that decide whether a long sentence is cut after a word; pieces between such cuts have more
@@ -81,18 +81,20 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def runs(text: str, min_sentences: int, min_words: int) -> tuple[np.ndarray, ...]:
-    """h1, h2, start, end and words of each run. Sentences without words belong to the run they stand in."""
+    """h1, h2, start and end of each run. Sentences without words belong to the run they stand in."""
     ends, folded, counts = sentences(text)
     ends, counts = np.array(ends, np.int64), np.array(counts, np.int64)
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     worded = np.flatnonzero(counts)
     total = np.concatenate([[0], np.cumsum(counts[worded])])
-    first = np.arange(len(worded))
-    last = np.maximum(first + min_sentences, np.searchsorted(total, total[:-1] + min_words)) if len(worded) else first
-    whole = last <= len(worded)
-    first, last = first[whole], last[whole]
+    n = len(worded)
+    at = np.arange(n)
+    last = np.maximum(at + min_sentences, np.searchsorted(total, total[:-1] + min_words))
+    first = np.minimum(at + 1 - min_sentences, np.searchsorted(total, total[1:] - min_words, side="right") - 1)
+    found = np.concatenate([(at * (n + 1) + last)[last <= n], (first * (n + 1) + at + 1)[first >= 0]])
+    first, last = np.divmod(np.unique(found), n + 1)
     if not len(first):
-        return tuple(np.empty(0, np.int64) for _ in range(5))
+        return tuple(np.empty(0, np.int64) for _ in range(4))
     digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(folded[i]) for i in worded), "<u8").reshape(-1, 2)
     hashes = []
     for column, base in enumerate(_BASES):
@@ -100,7 +102,7 @@ def runs(text: str, min_sentences: int, min_words: int) -> tuple[np.ndarray, ...
         power, inverse = _powers(base, len(worded) + 1), _powers(pow(base, -1, 1 << 64), len(worded) + 1)
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(digests[:, column]) * power[: len(worded)], dtype=np.uint64)])
         hashes.append(mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)).view(np.int64))
-    return hashes[0], hashes[1], starts[worded[first]], ends[worded[last - 1]], total[last] - total[first]
+    return hashes[0], hashes[1], starts[worded[first]], ends[worded[last - 1]]
 
 
 def span_table(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
@@ -111,9 +113,9 @@ def span_table(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame
                 continue
             lengths = [len(f[0]) for f in found]
             row_id, row_hash = (np.repeat(x, lengths) for x in rows(batch))
-            h1, h2, start, end, words = (np.concatenate(x) for x in zip(*found))
+            h1, h2, start, end = (np.concatenate(x) for x in zip(*found))
             yield arrow_batch(
-                h1=h1, h2=h2, __row_id=row_id, __row_hash=row_hash, start=start.astype(np.int32), end=end.astype(np.int32), words=words.astype(np.int32)
+                h1=h1, h2=h2, __row_id=row_id, __row_hash=row_hash, start=start.astype(np.int32), end=end.astype(np.int32)
             )
 
     return docs.select(*row_key(), "text").mapInArrow(scan, _SPANS)

@@ -207,6 +207,37 @@ def test_substring_dedup(docs):
         assert row.text == want
 
 
+def all_spans(texts, least_sentences, least_words):
+    """Like ``plain_spans``, of every run there is and not only the shortest from each sentence."""
+    runs = defaultdict(list)
+    for i, text in sorted(texts.items()):
+        ends, folded, counts = sentence_dedup.sentences(text or "")
+        starts = [0, *ends[:-1]]
+        worded = [k for k, n in enumerate(counts) if n]
+        for a, b in itertools.combinations(range(len(worded) + 1), 2):
+            own = worded[a:b]
+            if len(own) >= least_sentences and sum(counts[k] for k in own) >= least_words:
+                runs[hash(tuple(folded[k] for k in own))].append((i, starts[own[0]], ends[own[-1]]))
+    gone = defaultdict(set)
+    for places in runs.values():
+        for i, a, b in sorted(places)[1:]:
+            gone[i] |= set(range(a, b))
+    return gone
+
+
+def test_every_sentence_of_a_repeated_span_is_cut(docs):
+    r = random.Random(6)
+    sentence = lambda n: " ".join(r.choice(PROSE) + str(r.randrange(999)) for _ in range(n)).capitalize() + "."
+    passages = [" ".join(map(sentence, sizes)) for sizes in ((30, 10, 10), (10, 10, 30), (5, 20, 3, 2), (23, 1), (12, 12, 11, 12))]
+    texts = [" ".join([sentence(28), x, sentence(28), r.choice(passages), sentence(5)]) for x in passages for _ in range(3)]
+    texts += ["One. " * 60, "", None]
+    gone = all_spans(dict(enumerate(texts, 1)), 2, 24)
+    assert all(any(len(gone[i]) >= len(x) for i in range(3 * k + 1, 3 * k + 4)) for k, x in enumerate(passages))
+    for row in sentence_dedup.substring_dedup(docs(texts)).collect():
+        text = texts[row.doc_id - 1]
+        assert row.text == (text if text is None else "".join(c for k, c in enumerate(text) if k not in gone[row.doc_id]))
+
+
 def test_runs_of_a_passage_inside_long_sentences():
     """A passage without a sentence mark gives equal runs at every offset in the sentence around it."""
     r = random.Random(1)
