@@ -1,13 +1,13 @@
 """Benchmark decontamination by templates: numbers, names and units become typed slots, and windows of the rest are joined.
 
 Documents are read once. A bit table of fixed size, made from the benchmark, decides in the scan which windows are worth
-a join; the join on the window's hash decides. Matches are then aligned: windows of one document and one item at one
-distance belong together, and what fills the item's slots there must map one to one to what fills the document's.
+a join; the join on the window's hash decides. Matches are then aligned: windows of one document and one item that follow each
+other at distances a few words apart belong together, and what fills the item's slots there must map one to one to what fills the document's.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import ROW, arrow_batch, row_key, rows, texts
+from gridmart.llm.common import ROW, arrow_batch, per_batch, row_key, rows, texts
 from gridmart.llm.shingles import mixed
 
 #: Words that name a unit after a number.
@@ -32,8 +32,13 @@ _ODD = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 BITS, PART = 1 << 24, 1 << 15
 #: An item's window needs so many different words that are not slots; an item without one cannot be told from chance.
 MIN_LITERALS = 5
+#: Words by which the distance of document and item may change from one window to the next: small edits of a copy.
+DRIFT = 8
+#: Words of an item in one piece that count whatever their share of the item is.
+PASSAGE = 50
 
 _WINDOWS = "h long, pos int, slots array<long>"
+_FOUND = "cover double, n_windows long, n_slots long, kind string"
 
 
 class _Words(dict):
@@ -149,13 +154,77 @@ def _item_sizes(benchmark: DataFrame) -> DataFrame:
     return benchmark.select("item_id", "text").mapInArrow(scan, "item_id long, item_words int")
 
 
+def _chains(at: list[dict], item_words: int) -> list[list[dict]]:
+    """Windows of one document and item by alignment: in order on both sides, the distance changing by ``DRIFT`` at most."""
+    done, open_chains = [], []
+    for w in sorted(at, key=lambda w: (w["pos"], w["item_pos"])):
+        shift = w["pos"] - w["item_pos"]
+        done += [c for c in open_chains if c[-1]["pos"] < w["pos"] - item_words - DRIFT]
+        open_chains = [c for c in open_chains if c[-1]["pos"] >= w["pos"] - item_words - DRIFT]
+        apart = lambda c: abs(shift - c[-1]["pos"] + c[-1]["item_pos"])
+        near = min((c for c in open_chains if c[-1]["item_pos"] < w["item_pos"] and apart(c) <= DRIFT), key=apart, default=None)
+        if near is None:
+            open_chains.append([w])
+        else:
+            near.append(w)
+    return done + open_chains
+
+
+def _pairs(w: dict) -> list[tuple[int, int]]:
+    """What fills each slot of a window, in the item and in the document."""
+    return [(i, d) for i, d in zip(w["item_slots"], w["slots"]) if i]
+
+
+def _consistent(chain: list[dict]) -> list[dict]:
+    """The windows of a chain whose slots do not contradict each other."""
+    slots = {p for w in chain for p in _pairs(w)}
+    return chain if len(slots) == len({i for i, _ in slots}) == len({d for _, d in slots}) else []
+
+
+def _covered(chain: list[dict]) -> set[int]:
+    return {k for w in chain for k in range(w["item_pos"], w["item_pos"] + len(w["slots"]))}
+
+
+def _longest(places: set[int]) -> int:
+    """The most places in a row."""
+    best = n = 0
+    for k in sorted(places):
+        n = n + 1 if k - 1 in places else 1
+        best = max(best, n)
+    return best
+
+
+def _judged(min_cover: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """The best alignment of each document and item, if one counts."""
+
+    def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
+        index, out = [], []
+        for k, (words, at) in enumerate(zip(batch.column("item_words").to_pylist(), batch.column("at").to_pylist())):
+            told = []
+            for chain in map(_consistent, _chains(at, words)):
+                covered = _covered(chain)
+                cover = len(covered) / words
+                if cover >= min_cover or _longest(covered) >= PASSAGE:
+                    slots = {p for w in chain for p in _pairs(w)}
+                    told.append((cover, len(chain), len(slots), "reparameterised" if any(i != d for i, d in slots) else "verbatim"))
+            if told:
+                index.append(k)
+                out.append(max(told))
+        columns = {c: batch.column(c).take(pa.array(index, pa.int64())) for c in (*ROW, "item_id")}
+        kinds = {"cover": pa.float64(), "n_windows": pa.int64(), "n_slots": pa.int64(), "kind": pa.string()}
+        return arrow_batch(**columns, **{c: pa.array([x[n] for x in out], kind) for n, (c, kind) in enumerate(kinds.items())})
+
+    return judge
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: float = 0.5) -> DataFrame:
     """A row for each distinct document and benchmark item that it holds.
 
     Columns: doc_id, item_id, n_windows, cover (share of the item's template words inside matching windows; words that are
     in no telling window do not count), n_slots (slots of the item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
     ``reparameterised`` if they differ by a one-to-one replacement; a match whose slots contradict each other is none.
-    A pair counts from a cover of ``min_cover`` at one alignment. Items of 5 to ``window - 1`` words are one window;
+    A pair counts from a cover of ``min_cover`` at one alignment, or with 50 words of the item in one piece; an alignment
+    goes on over inserted and left out words, up to 8 at a place. Items of 5 to ``window - 1`` words are one window;
     shorter ones match nothing.
 
     Null or empty texts hold nothing, on either side; items without an id are ignored, and repeated items count once.
@@ -176,20 +245,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: flo
 
     hits = _window_table(docs, row_key(), "__row_id long, __row_hash long", sorted({*short, window}), bits)
     theirs = item_windows.select("h", "item_id", "item_words", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    matched = hits.distinct().join(theirs, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
-    pair = [*ROW, "item_id", "item_words", "shift"]
-    # At one shift every window stands once, so a group is no larger than an item.
-    n_covered = covered(F.col("item_pos"), F.size("slots")).alias("n_covered")
-    filled = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda s: s["i"] != 0)
-    slots = F.array_distinct(F.flatten(F.collect_list(filled)))
-    grouped = matched.groupBy(*pair).agg(F.count("*").alias("n_windows"), n_covered, slots.alias("slots"))
-    column = lambda name: F.size(F.array_distinct(F.transform("slots", lambda s: s[name])))
-    consistent = grouped.where((F.size("slots") == column("i")) & (F.size("slots") == column("d")))
-    kind = F.when(F.exists("slots", lambda s: s["i"] != s["d"]), "reparameterised").otherwise("verbatim")
-    told = consistent.select(
-        *ROW, "item_id", "n_windows", (F.col("n_covered") / F.col("item_words")).alias("cover"), F.size("slots").cast("long").alias("n_slots"), kind.alias("kind")
-    ).where(F.col("cover") >= min_cover)
-    best = F.max(F.struct("cover", "n_windows", "n_slots", "kind")).alias("best")
-    found = told.groupBy(*ROW, "item_id").agg(best).select(*ROW, "item_id", "best.*")
+    matched = hits.distinct().join(theirs, "h")
+    # Windows of one document, so a group is no larger than that.
+    at = F.collect_list(F.struct("pos", "item_pos", "slots", "item_slots")).alias("at")
+    grouped = matched.groupBy(*ROW, "item_id", "item_words").agg(at)
+    found = grouped.mapInArrow(per_batch(_judged(min_cover)), f"__row_id long, __row_hash long, item_id long, {_FOUND}")
     ids = docs.select("doc_id", *row_key()).distinct()
     return ids.join(found, list(ROW)).select("doc_id", "item_id", "n_windows", "cover", "n_slots", "kind", *ROW)

@@ -357,6 +357,20 @@ def test_leaks(spark, docs):
     assert {x for x in got if x[0] != 4} == {(1, 1, "verbatim"), (2, 1, "reparameterised")}
 
 
+def test_leaks_with_small_edits_and_in_part(spark, docs):
+    r = random.Random(8)
+    words = lambda n: [f"{r.choice(PROSE)}{chr(97 + r.randrange(26))}{chr(97 + r.randrange(26))}" for _ in range(n)]
+    item, long_item = words(45), words(200)
+    texts = [
+        " ".join([*words(30), *item[:15], "really", *item[15:30], "truly", *item[30:], *words(30)]),
+        " ".join([*words(30), *item[:12], *item[13:24], "so", *item[24:34], *item[36:], *words(30)]),
+        " ".join([*words(30), *long_item[70:130], *words(30)]),
+        " ".join([*words(30), *long_item[70:100], *words(30)]),
+    ]
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long_item))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(texts), benchmark).collect()} == {(1, 1), (2, 1), (3, 2)}
+
+
 def plain_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
