@@ -2,11 +2,13 @@
 
 Documents are read once. A bit table of fixed size, made from the benchmark, decides in the scan which windows are worth
 a join; the join on the window's hash decides. Matches are then aligned: windows of one document and one item that follow each
-other at distances a few words apart belong together, and what fills the item's slots there must map one to one to what fills the document's.
+other at distances a few words apart belong together, and each
+value that fills the item's slots there must stand for one value of the document.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -176,9 +178,17 @@ def _pairs(w: dict) -> list[tuple[int, int]]:
 
 
 def _consistent(chain: list[dict]) -> list[dict]:
-    """The windows of a chain whose slots do not contradict each other."""
-    slots = {p for w in chain for p in _pairs(w)}
-    return chain if len(slots) == len({i for i, _ in slots}) == len({d for _, d in slots}) else []
+    """The windows of a chain without those whose slots contradict the rest.
+
+    What fills a slot of the item stands for one value in the document: the one at most of its places, of equals the
+    item's own. Two values of the item may stand for one. A window equal in words and slots contradicts nothing.
+    """
+    places = {(i, d, w["item_pos"] + k) for w in chain for k, (i, d) in enumerate(zip(w["item_slots"], w["slots"])) if i}
+    counts = Counter((i, d) for i, d, _ in places)
+    stands = {}
+    for (i, d), n in counts.items():
+        stands[i] = max(stands.get(i, (0, False, 0)), (n, i == d, d))
+    return [w for w in chain if w["item_slots"] == w["slots"] or all(stands[i][2] == d for i, d in _pairs(w))]
 
 
 def _covered(chain: list[dict]) -> set[int]:
@@ -222,7 +232,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: flo
 
     Columns: doc_id, item_id, n_windows, cover (share of the item's template words inside matching windows; words that are
     in no telling window do not count), n_slots (slots of the item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
-    ``reparameterised`` if they differ by a one-to-one replacement; a match whose slots contradict each other is none.
+    ``reparameterised`` if they differ by a replacement; windows whose slots contradict the rest of a match do not count.
     A pair counts from a cover of ``min_cover`` at one alignment, or with 50 words of the item in one piece; an alignment
     goes on over inserted and left out words, up to 8 at a place. Items of 5 to ``window - 1`` words are one window;
     shorter ones match nothing.

@@ -371,6 +371,16 @@ def test_leaks_with_small_edits_and_in_part(spark, docs):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(texts), benchmark).collect()} == {(1, 1), (2, 1), (3, 2)}
 
 
+def test_leaks_leave_out_contradicting_windows_only(spark, docs):
+    tail = "and then the merchant counted every coin twice before closing the heavy wooden door behind his guests"
+    item = f"a farmer named Alice had 12 sheep and bought 30 more at the spring market {tail} while Alice slept near 12 barrels of cider"
+    texts = [item.replace("near 12", "near 13"), item.replace("named Alice", "named Boris").replace("12", "40").replace("30", "50"), item.replace("12", "15").replace("30", "15")]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.leaks(docs([f"{prose(i, 40)} {t} {prose(i + 9, 40)}" for i, t in enumerate(texts)]), benchmark).collect()}
+    assert {i: r.kind for i, r in got.items()} == {1: "verbatim", 2: "reparameterised", 3: "reparameterised"}
+    assert got[1].cover < 1 and got[3].cover == 1
+
+
 def plain_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
