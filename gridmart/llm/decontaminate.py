@@ -27,19 +27,20 @@ UNITS = frozenset(
     b"|percent|pound|pounds|ounce|ounces|gram|grams|meter|meters|metre|metres|mph|kmh|hz|khz|mhz|v|w|kw|j|n|pa".split(b"|")
 )
 _EDGE = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+_EXACT = np.uint64(19)
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (11, 13, 17))
 _ODD = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 #: Bits of the table, and of a part of it that Spark aggregates as one row.
 BITS, PART = 1 << 24, 1 << 15
-#: An item's window needs so many different words that are not slots; an item without one cannot be told from chance.
+#: An item's window needs so many different words that are not slots to be matched by its template; others are matched verbatim.
 MIN_LITERALS = 5
 #: Words by which the distance of document and item may change from one window to the next: small edits of a copy.
 DRIFT = 8
 #: Words of an item in one piece that count whatever their share of the item is.
 PASSAGE = 50
 
-_WINDOWS = "h long, pos int, slots array<long>"
+_WINDOWS = "h long, pos int, slots array<long>, exact boolean"
 _FOUND = "cover double, n_windows long, n_slots long, kind string"
 
 
@@ -84,50 +85,58 @@ class Templates:
         template = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, values)))
         return template, np.where(number | unit | name, values | np.uint64(16), np.uint64(0))
 
-    def windows(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-        """For each length: the windows' hashes, the slots of the text, and its template words."""
+    def windows(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+        """For each length: the windows' hashes with and without slots, the slots of the text, and its template words."""
         template, slots = self.tokens(text)
-        spread = mixed(template)
+        # A word counts the same here whether it fills a slot or not.
+        written = np.where(slots != 0, slots, template) | np.uint64(16)
+        spread, spread_written = mixed(template), mixed(written + _EXACT)
         for size in self.lengths:
             n = len(template) - size + 1
             if n < 1:
                 continue
-            hashes = np.full(n, size, np.uint64)
+            hashes, exact = np.full(n, size, np.uint64), np.full(n, size, np.uint64)
             for k in range(size):
                 hashes += spread[k : k + n] * _ODD[k]
-            yield mixed(hashes).view(np.int64), slots, template, size
+                exact += spread_written[k : k + n] * _ODD[k]
+            yield mixed(hashes).view(np.int64), mixed(exact + _EXACT).view(np.int64), slots, template, size
 
 
 def _telling(template: np.ndarray, slots: np.ndarray, size: int) -> np.ndarray:
-    """Windows of ``size`` with enough different words that are not slots."""
+    """Whether each window of ``size`` has enough different words that are not slots."""
     words = np.where(slots == 0, template, 0)
-    return np.array([at for at in range(len(words) - size + 1) if len(np.unique(w := words[at : at + size])) - (0 in w) >= MIN_LITERALS], np.int64)
+    return np.array([len(np.unique(w := words[at : at + size])) - (0 in w) >= MIN_LITERALS for at in range(len(words) - size + 1)], bool)
 
 
 def _window_table(df: DataFrame, ids: list, id_schema: str, lengths: list[int], bits: np.ndarray | None = None) -> DataFrame:
-    """Windows of each text: id columns, h, pos and what fills the slots. With ``bits`` those that the table knows, else the telling ones."""
+    """Windows of each text: id columns, h, pos, what fills the slots, and whether h is of the words as written.
+
+    With ``bits`` those that the table knows, else all: the telling ones by template, the others as written.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(lengths)
         for batch in batches:
-            index, hashes, places, filled = [], [], [], []
+            index, hashes, places, filled, exact = [], [], [], [], []
             for i, text in enumerate(texts(batch)):
-                for h, slots, template, size in templates.windows(text):
-                    if bits is None:
-                        pos = _telling(template, slots, size)
-                    else:
-                        low = h & (BITS - 1)
-                        pos = np.flatnonzero((bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1)
-                    h = h[pos]
-                    index += [i] * len(h)
-                    hashes.append(h)
-                    places += pos.tolist()
-                    filled += [slots[p : p + size].view(np.int64) for p in pos.tolist()]
+                for h, written, slots, template, size in templates.windows(text):
+                    telling = _telling(template, slots, size) if bits is None else None
+                    for hashed, is_exact in ((h, False), (written, True)):
+                        if bits is None:
+                            pos = np.flatnonzero(telling != is_exact)
+                        else:
+                            low = hashed & (BITS - 1)
+                            pos = np.flatnonzero((bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1)
+                        index += [i] * len(pos)
+                        hashes.append(hashed[pos])
+                        places += pos.tolist()
+                        filled += [slots[p : p + size].view(np.int64) for p in pos.tolist()]
+                        exact += [is_exact] * len(pos)
             at = pa.array(index, pa.int64())
             columns = {c: batch.column(c).take(at) for c in batch.schema.names if c != "text"}
             yield arrow_batch(
                 **columns, h=np.concatenate(hashes) if hashes else np.empty(0, np.int64), pos=pa.array(places, pa.int32()),
-                slots=pa.array(filled, pa.list_(pa.int64())),
+                slots=pa.array(filled, pa.list_(pa.int64())), exact=pa.array(exact, pa.bool_()),
             )
 
     return df.select(*ids, "text").mapInArrow(scan, f"{id_schema}, {_WINDOWS}")
@@ -209,11 +218,12 @@ def _judged(min_cover: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
 
     def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
         index, out = [], []
-        for k, (words, at) in enumerate(zip(batch.column("item_words").to_pylist(), batch.column("at").to_pylist())):
+        for k, (words, telling, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("item_words", "item_telling", "at")))):
             told = []
             for chain in map(_consistent, _chains(at, words)):
                 covered = _covered(chain)
-                cover = len(covered) / words
+                by_template = len(_covered([w for w in chain if not w["exact"]]))
+                cover = max(len(covered) / words, by_template / telling if telling else 0.0)
                 if cover >= min_cover or _longest(covered) >= PASSAGE:
                     slots = {p for w in chain for p in _pairs(w)}
                     told.append((cover, len(chain), len(slots), "reparameterised" if any(i != d for i, d in slots) else "verbatim"))
@@ -230,12 +240,12 @@ def _judged(min_cover: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: float = 0.5) -> DataFrame:
     """A row for each distinct document and benchmark item that it holds.
 
-    Columns: doc_id, item_id, n_windows, cover (share of the item's template words inside matching windows; words that are
-    in no telling window do not count), n_slots (slots of the item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
+    Columns: doc_id, item_id, n_windows, cover (share of the item's words inside matching windows, or of those in windows
+    that can be matched by template, if that is more), n_slots (slots of the item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
     ``reparameterised`` if they differ by a replacement; windows whose slots contradict the rest of a match do not count.
     A pair counts from a cover of ``min_cover`` at one alignment, or with 50 words of the item in one piece; an alignment
-    goes on over inserted and left out words, up to 8 at a place. Items of 5 to ``window - 1`` words are one window;
-    shorter ones match nothing.
+    goes on over inserted and left out words, up to 8 at a place. Items of fewer than ``window`` words are one
+    window, however short. Windows with fewer than 5 different words beside their slots are matched verbatim only.
 
     Null or empty texts hold nothing, on either side; items without an id are ignored, and repeated items count once.
     Repeated rows give one result, rows that share an id or have none one each. Other columns are not read. Empty tables
@@ -243,22 +253,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: flo
     """
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL").dropDuplicates()
     sizes = _item_sizes(items)
-    short = [r.item_words for r in sizes.where(F.col("item_words").between(MIN_LITERALS, window - 1)).select("item_words").distinct().collect()]
+    short = [r.item_words for r in sizes.where(F.col("item_words").between(1, window - 1)).select("item_words").distinct().collect()]
     item_windows = _window_table(items, ["item_id"], "item_id long", sorted({*short, window}))
     item_windows = item_windows.join(sizes, "item_id").where(F.size("slots") == F.least("item_words", F.lit(window)))
     # A window that an item repeats stands for its first place, so a match is one row for each place in the document.
-    item_windows = item_windows.groupBy("item_id", "h").agg(F.min(F.struct("pos", "slots")).alias("at")).select("item_id", "h", "at.*")
-    covered = lambda pos, size: F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence(pos, pos + size - 1)))))
-    reach = item_windows.groupBy("item_id").agg(covered(F.col("pos"), F.size("slots")).alias("item_words"))
+    item_windows = item_windows.groupBy("item_id", "h").agg(F.min(F.struct("pos", "slots", "exact")).alias("at")).select("item_id", "h", "at.*")
+    places = F.sequence("pos", F.col("pos") + F.size("slots") - 1)
+    covered = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places))))
+    reach = item_windows.groupBy("item_id").agg(covered(places).alias("item_words"), covered(F.when(~F.col("exact"), places)).alias("item_telling"))
     item_windows = item_windows.join(reach, "item_id")
     bits = _bit_table(item_windows)
 
     hits = _window_table(docs, row_key(), "__row_id long, __row_hash long", sorted({*short, window}), bits)
-    theirs = item_windows.select("h", "item_id", "item_words", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    matched = hits.distinct().join(theirs, "h")
+    theirs = item_windows.select("h", "exact", "item_id", "item_words", "item_telling", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    same = F.when(F.col("exact"), F.col("item_slots")).otherwise(F.col("slots"))
+    matched = hits.distinct().join(theirs, ["h", "exact"]).withColumn("slots", same)
     # Windows of one document, so a group is no larger than that.
-    at = F.collect_list(F.struct("pos", "item_pos", "slots", "item_slots")).alias("at")
-    grouped = matched.groupBy(*ROW, "item_id", "item_words").agg(at)
+    at = F.collect_list(F.struct("pos", "item_pos", "slots", "item_slots", "exact")).alias("at")
+    grouped = matched.groupBy(*ROW, "item_id", "item_words", "item_telling").agg(at)
     found = grouped.mapInArrow(per_batch(_judged(min_cover)), f"__row_id long, __row_hash long, item_id long, {_FOUND}")
     ids = docs.select("doc_id", *row_key()).distinct()
     return ids.join(found, list(ROW)).select("doc_id", "item_id", "n_windows", "cover", "n_slots", "kind", *ROW)

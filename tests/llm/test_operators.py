@@ -381,6 +381,14 @@ def test_leaks_leave_out_contradicting_windows_only(spark, docs):
     assert got[1].cover < 1 and got[3].cover == 1
 
 
+def test_leaks_of_items_without_telling_windows(spark, docs):
+    items = ["Compute 12 + 30 * 4 - 7 / 2", "What is 12 times 7?", "Alice, Boris, Carol, Dora, Emil, Fritz, Greta, Hugo, Ivan and Jane", "1914 1918 1939 1945 1949 1953 1961 1989 1990", "again and again and again and again and again"]
+    texts = [f"{prose(i, 40)} {item} {prose(i + 9, 40)}" for i, item in enumerate(items)] + [f"{prose(1, 40)} Compute 13 + 30 * 4 - 7 / 2 {prose(2, 40)} What is 12 times 8?", items[2].upper()]
+    benchmark = spark.createDataFrame(list(enumerate(items, 1)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.kind) for r in decontaminate.leaks(docs(texts), benchmark).collect()}
+    assert got == {(i, i, "verbatim") for i in range(1, 6)} | {(7, 3, "verbatim")}
+
+
 def plain_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
