@@ -29,6 +29,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
+_ANY_MARK = re.compile(r"[0-9@]|\(at\)|\[at\]")
 
 #: Generators of the method: they may overlap the base and each other.
 _LOOSE_EMAIL = re.compile(r"(?<![^\s\"'<(\[])[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63}){1,5}")
@@ -94,7 +95,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """What the method looks at: each proposal under each kind its format allows."""
-    if not _MARK.search(text):
+    if not _ANY_MARK.search(text):
         return []
     out = set()
     if "@" in text or "(at)" in text or "[at]" in text:
@@ -109,7 +110,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
                 if least <= n <= most:
                     out.add((kind, start, m.end()))
     for m in _SECRET.finditer(text):
-        if m.end() - m.start() <= 512 and any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
+        if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
             out.add(("secret", m.start(), m.end()))
     return sorted(out)
 
@@ -192,7 +193,7 @@ class Redactor:
 def fit_redactor(texts: list[str], cases: int = 6000, precision: float = 0.98, seed: int = 7) -> Redactor:
     """Trees fitted on ``cases`` insertions into the given texts; three tenths of them set the thresholds."""
     rng = np.random.default_rng(seed)
-    carriers = [t for t in texts if t and not _MARK.search(t)] or ["a plain line of words that holds nothing personal at all"]
+    carriers = [t for t in texts if t and not _ANY_MARK.search(t)] or ["a plain line of words that holds nothing personal at all"]
     rows, truth, kinds = [], [], []
     for _ in range(cases):
         words = carriers[rng.integers(len(carriers))].split(" ")

@@ -457,6 +457,16 @@ def test_pii_spans(docs):
     assert pii.redact("write to a@b.com now", "email:9:16") == "write to [email] now"
 
 
+def test_pii_spelled_out_address_and_long_secret(docs):
+    r = random.Random(4)
+    secret = "".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(900))
+    address = "marina (at) aniram (dot) org"
+    texts = [f"please write to {address} about the garden", f'the token = "{secret}" ends', *(" ".join(r.choices(PROSE, k=60)) for _ in range(20))]
+    rows = {x.doc_id: x for x in pii.personal_data(docs(texts), sample=20, cases=3000).collect()}
+    assert rows[1].spans == f"email:16:{16 + len(address)}" and rows[2].spans == f"secret:13:{13 + len(secret)}"
+    assert not any(rows[i].spans for i in range(3, 23))
+
+
 def test_boosted_trees_learn():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 5))
