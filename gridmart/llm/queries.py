@@ -16,6 +16,7 @@ from gridmart.llm.packing import pack
 from gridmart.llm.pii import personal_data
 from gridmart.llm.sentence_dedup import repeated_spans
 from gridmart.llm.sharding import balanced_shards
+from gridmart.llm.simhash import simhash_components
 from gridmart.llm.weak_quality import weak_quality
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -127,3 +128,9 @@ def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_weak_label_quality")
 def op5_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query("op13_simhash_components")
+def op13_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -1,0 +1,142 @@
+"""SimHash components against all pairs, and every step on its own."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from gridmart.llm import simhash
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, fp string, label string, block int, component_id string"
+
+
+def plain_fingerprint(text, n=4):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\x0b", " ").replace("\x0c", " ")
+    words = [w for w in words.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") if w]
+    shingles = [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(fps, max_bits):
+    """Smallest id reachable, by id; ids of None are passed over."""
+    ids, values = [i for i, _ in fps], [f for _, f in fps]
+    label = list(range(len(fps)))
+    for a in range(len(fps)):
+        for b in range(a):
+            if bin(values[a] ^ values[b]).count("1") <= max_bits and label[a] != label[b]:
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    return [min((ids[k] for k in range(len(ids)) if label[k] == x and ids[k] is not None), default=None) for x in label]
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "one", "One two THREE", "É é  a b c\x0bd e\x1cf", "a b c d " * 50, "Ω " * 9])
+def test_fingerprint(text):
+    assert simhash.fingerprint((text or "").encode()) == plain_fingerprint(text)
+
+
+def test_long_text_is_read_whole():
+    r = random.Random(1)
+    text = " ".join(str(r.randint(0, 10**9)) for _ in range(150_000))
+    assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("max_bits", [1, 3, 4, 6])
+def test_every_pair_belongs_to_one_list(max_bits):
+    """All sets of shared positions: exactly one list when they reach the minimum, none below."""
+    least = 8 - max_bits
+    for depth in range(1, least + 1):
+        positions = simhash.first_positions(depth, least)
+        belongs = simhash._list_of(positions, least)
+        for mask in range(256):
+            shared = [p for p in range(8) if mask >> p & 1]
+            assert (belongs[mask] >= 0) == (len(shared) >= least)
+            if belongs[mask] >= 0:
+                assert set(positions[belongs[mask]]) <= set(shared)
+
+
+def clustered(seed, size):
+    """Fingerprints in chains and clouds of few changed bits."""
+    r = random.Random(seed)
+    out = [r.getrandbits(64) for _ in range(size // 4)]
+    while len(out) < size:
+        base = r.choice(out)
+        for bit in r.sample(range(64), r.randint(1, 7)):
+            base ^= 1 << bit
+        out.append(base)
+    return list(dict.fromkeys(out))
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+@pytest.mark.parametrize("block_members", [3, 4096])
+def test_links_join_what_all_pairs_join(spark, depth, block_members):
+    fps = clustered(depth, 400)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    # Every third fingerprint of the first half has a common label, as if it had been joined before.
+    labels = [signed[0] if k < 200 and k % 3 == 0 else x for k, x in enumerate(signed)]
+    nodes = spark.createDataFrame(list(zip(signed, labels)), "fp long, label long").repartition(5)
+    edges = {frozenset((r.a, r.b)) for r in simhash.links(nodes, depth, 4, 4, block_members).collect()}
+
+    def parts(pairs):
+        up = {x: x for x in labels}
+        for a, b in pairs:
+            old, new = up[a], up[b]
+            up = {x: new if y == old else y for x, y in up.items()}
+        return {frozenset(x for x in up if up[x] == y) for y in up.values()}
+
+    near = [(labels[a], labels[b]) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4]
+    assert parts(map(tuple, edges)) == parts([p for p in near if p[0] != p[1]])
+
+
+def words(seed, n):
+    r = random.Random(seed)
+    return [r.choice("abcdefghij") + str(r.randint(0, 99)) for _ in range(n)]
+
+
+def near_copies():
+    texts = [None, "", "  ", "one", "one two three", "ONE two three", "x " * 2000]
+    for g in range(8):
+        base = words(g, 400)
+        for k in range(12):
+            copy, r = list(base), random.Random(100 * g + k)
+            for _ in range(r.randint(0, 6)):
+                copy[r.randrange(len(copy))] = "changed"
+            texts.append(" ".join(copy))
+    texts += [" ".join(words(900 + k, 30)) for k in range(40)]
+    return texts
+
+
+@pytest.mark.parametrize("max_bits", [0, 4, 7])
+def test_components(spark, max_bits):
+    rows = [(i, t) for i, t in enumerate(near_copies(), 10)]
+    rows += [(5, rows[20][1]), (rows[30][0], "same id, other text here"), *[(7000, rows[40][1])] * 30, (None, rows[50][1]), (None, "alone without an id at all")]
+    data = spark.createDataFrame([(i, t, "f", "l", 1, "c") for i, t in rows], SCHEMA).repartition(6)
+    got = simhash.simhash_components(data, max_bits=max_bits, block_members=4).collect()
+    fps = [(i, plain_fingerprint(t)) for i, t in rows]
+    want = [(i, f, c) for (i, f), c in zip(fps, plain_components(fps, max_bits))]
+    assert sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got), key=repr) == sorted(want, key=repr)
+    assert len({c for _, _, c in want}) < len(rows) - 40
+
+
+def test_empty_table(spark):
+    data = spark.createDataFrame([], SCHEMA)
+    assert simhash.simhash_components(data).count() == 0
+
+
+def test_query_against_all_pairs(spark):
+    from gridmart.llm.common import table
+    from gridmart.llm.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    fps = [(r.doc_id, plain_fingerprint(r.text)) for r in rows]
+    want = [(i, f"{f:016x}", c) for (i, f), c in zip(fps, plain_components(fps, 4))]
+    got = QUERIES["op13_simhash_components"](spark, sf_dir).select("doc_id", "fingerprint", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_shingle_hash_is_the_engine_s(spark):
+    text = "one two three four"
+    ours = np.array([xxhash.xxh64_intdigest(text.encode(), simhash.SEED)], np.uint64).view(np.int64)[0]
+    assert spark.range(1).select(F.xxhash64(F.lit(text))).first()[0] == ours
