@@ -84,3 +84,11 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New, unused path in the shared folder."""
     return f"{shared_folder(spark)}/gridmart/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that ``scratch_path`` named and nothing reads any more."""
+    if not path.startswith(f"{shared_folder(spark)}/gridmart/"):
+        raise ValueError(f"not a scratch path: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
