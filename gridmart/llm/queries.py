@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm import quality_rules as quality
-from gridmart.llm.common import ORACLES, QUERIES, ROW, query, table
+from gridmart.llm.common import ORACLES, QUERIES, ROW, query, staged, table
 from gridmart.llm.decontaminate import leaks
 from gridmart.llm.jaccard import similar_documents
 from gridmart.llm.licenses import license_scan
@@ -17,6 +19,7 @@ from gridmart.llm.pii import personal_data
 from gridmart.llm.sentence_dedup import repeated_spans
 from gridmart.llm.sharding import balanced_shards
 from gridmart.llm.simhash import simhash_components
+from gridmart.llm.vector_codes import SCALE, encode
 from gridmart.llm.weak_quality import weak_quality
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -134,3 +137,40 @@ def op5_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Plain Lloyd: every part against every entry in every round. All sums are whole numbers below 2^53."""
+    assigned = """near{k} AS (
+        SELECT p, id, x, min_by(e, d * 256 + e) AS e, min(d) AS d
+        FROM (SELECT cut.p, cut.id, cut.x, c.e, list_dot_product(cut.x, cut.x) + list_dot_product(c.x, c.x) - 2 * list_dot_product(cut.x, c.x) AS d
+              FROM cut JOIN book{k} c ON c.p = cut.p) GROUP BY p, id, x)"""
+    moved = """sums{k} AS (SELECT p, e, pos, floor(sum(v) / count(*)) AS v
+               FROM (SELECT p, e, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM near{k}) GROUP BY p, e, pos),
+    means{k} AS (SELECT p, e, list(v ORDER BY pos) AS x FROM sums{k} GROUP BY p, e),
+    book{n} AS (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN means{k} m ON m.p = b.p AND m.e = b.e)"""
+    steps = [assigned.format(k=k) + (",\n    " + moved.format(k=k, n=k + 1) if k < rounds else "") for k in range(rounds + 1)]
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id AS id, label, list_transform(embedding, lambda v: floor({SCALE} * v::DOUBLE)) AS x FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+    cut AS MATERIALIZED (SELECT p, id, x[p * len(x) // {parts} + 1 : (p + 1) * len(x) // {parts}] AS x FROM kept, range({parts}) AS r(p)),
+    book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY id) - 1 AS e, x FROM cut QUALIFY e < {entries}),
+    {(","+chr(10)+"    ").join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)},
+    coded AS (SELECT id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY id),
+    books AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda v: CAST(v AS BIGINT)), ','), ',' ORDER BY p, e)) AS sha FROM book{rounds})
+    SELECT id AS vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+    FROM coded JOIN kept USING (id), books
+    """
+
+
+@query("op11_vector_codes", _vector_codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode(table(spark, sf_dir, "embeddings"), carry=("label",))
+    error = F.aggregate("distances", F.lit(0).cast("long"), lambda a, x: a + x)
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c.cast("long"))), 2, "0")), "")
+    rows = found.rows.select("vec_id", "label", code.alias("code"), error.alias("error"))
+    sums = staged(rows.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")), "label_errors")
+    digest = hashlib.sha256(",".join(map(str, found.codebooks.reshape(-1).tolist())).encode()).hexdigest()
+    joined = rows.join(sums, F.col("label").eqNullSafe(F.col("of")))
+    return joined.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
