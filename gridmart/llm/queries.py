@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm import quality_rules as quality
 from gridmart.llm.common import ORACLES, QUERIES, ROW, query, staged, table
+from gridmart.llm.conversations import repair, text_digests
 from gridmart.llm.decontaminate import leaks
 from gridmart.llm.jaccard import similar_documents
 from gridmart.llm.licenses import license_scan
@@ -174,3 +175,29 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = hashlib.sha256(",".join(map(str, found.codebooks.reshape(-1).tolist())).encode()).hexdigest()
     joined = rows.join(sums, F.col("label").eqNullSafe(F.col("of")))
     return joined.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with faults that a checksum of id and turn chooses."""
+    space = F.lit(" ")
+    place = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *place)) % 20
+    text = F.coalesce("text", space)
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.coalesce("role", space))
+    times = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    left = conversations.select("conv_id", "turn", "role", "text", fault.alias("fault")).where("fault <> 0")
+    return left.select("conv_id", "turn", role.alias("role"), text.alias("text"), times).drop("col")
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = repair(damaged(conversations))
+    digests = text_digests(repaired.messages).withColumnRenamed("sha256", "repaired_sha256")
+    parts = conversations.select("conv_id").distinct().unionByName(repaired.report, allowMissingColumns=True).unionByName(digests, allowMissingColumns=True)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    empty = {"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()}
+    return parts.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in counts], *[F.coalesce(F.max(c), F.lit(x)).alias(c) for c, x in empty.items()]
+    )
