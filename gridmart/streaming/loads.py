@@ -10,7 +10,7 @@ from gridmart import feeds
 from gridmart.functions.casts import as_instant
 from gridmart.operators.parse import json_texts
 from gridmart.sources.bronze import FOLDERS, envelope, stored
-from gridmart.sources.landed import export_records
+from gridmart.sources.landed import ARRIVED, export_records
 
 EVERY_QUARTER_HOUR = {"processingTime": "15 minutes"}
 UNTIL_CAUGHT_UP = {"availableNow": True}
@@ -46,18 +46,23 @@ def recent_power(
 ) -> DataFrame:
     """Bronze records of landed JSON-array exports (column ``document``, batch or stream): one region's last ``minutes``.
 
-    ``now`` is by default the time of the micro-batch. Records without a usable time are left out; a load is labelled
-    with the UTC day of its time.
+    The window ends when a document was asked for: its ``arrived`` (see ``sources.landed``), or ``now`` for documents
+    without one. It is never the time of the micro-batch, so a stream that stood still, or reads an old landing folder
+    again, takes the same records as one that read each file at once. That time is also the load's, and a load is
+    labelled with its UTC day. Records without a usable time are left out.
     """
-    now = F.current_timestamp() if now is None else now
-    records = json_texts(export_records(documents), ["code_insee_region", "date_heure"], ["payload"]).toDF("payload", "region", "instant")
-    start = as_instant(F.col("instant"))
-    wanted = records.where((F.col("region") == region) & (start >= now - F.make_dt_interval(mins=F.lit(minutes))) & (start < now))
-    return envelope(wanted.select("payload"), dataset, F.date_format(now, "yyyy-MM-dd"), now)
+    if now is None and ARRIVED not in documents.columns:
+        raise ValueError(f"documents need a column {ARRIVED}, or give now")
+    asked = (F.col(ARRIVED) if now is None else now).alias("asked")
+    exports = export_records(documents, [asked])
+    records = json_texts(exports, ["code_insee_region", "date_heure"], ["payload", "asked"]).toDF("payload", "asked", "region", "instant")
+    start, end = as_instant(F.col("instant")), F.col("asked")
+    wanted = records.where((F.col("region") == region) & (start >= end - F.make_dt_interval(mins=F.lit(minutes))) & (start < end))
+    return envelope(wanted, dataset, F.date_format(end, "yyyy-MM-dd"), end)
 
 
 def start_power_stream(
     documents: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, minutes: int = 120
 ) -> StreamingQuery:
-    """Landed exports to the log at ``path`` every quarter of an hour, cut to the last ``minutes``."""
+    """Landed exports (``landed.stream_documents``) to the log at ``path`` every quarter of an hour, cut to the last ``minutes``."""
     return start_log_stream(recent_power(documents, minutes), path, checkpoint, trigger)

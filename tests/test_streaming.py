@@ -1,7 +1,9 @@
 """Streams give what a rebuild from the whole log gives."""
 
 import json
-from datetime import timedelta
+import os
+import shutil
+from datetime import date, timedelta
 
 import pytest
 from conftest import load_time
@@ -14,7 +16,7 @@ from gridmart.sources import bronze, landed
 from gridmart.sources.tables import Layers
 from gridmart.streaming import slots as slots_module
 from gridmart.streaming.loads import UNTIL_CAUGHT_UP, recent_power, start_log_stream
-from gridmart.streaming.slots import compact_slots, merge_slots, read_slots, start_slot_stream
+from gridmart.streaming.slots import _switches, compact_slots, last_batch, merge_slots, read_slots, start_slot_stream, touched_periods
 from gridmart.streaming.windows import energy_by_slot
 
 
@@ -129,6 +131,73 @@ def test_compaction_changes_no_row_and_batches_go_on(spark, log, monkeypatch):
     assert rows(read_slots(spark, path)) == rows(silver.power_slots(log(*VERSIONS)))
 
 
+def remove(path):
+    shutil.rmtree(path.removeprefix("file:"))
+
+
+def test_compaction_up_to_batch_0_is_a_compaction(spark, log):
+    """Read with the batches' folder gone, as the docstring allows; a second call has nothing to do."""
+    landing, store, checkpoint = (scratch_path(spark, n) for n in ("landing", "store", "checkpoint"))
+    whole = log(*VERSIONS)
+    whole.coalesce(1).write.parquet(landing)
+    stream = spark.readStream.schema(whole.schema).parquet(landing)
+    start_slot_stream(stream, store, checkpoint, UNTIL_CAUGHT_UP, compact_after=99).awaitTermination()
+    assert last_batch(spark, store) == 0 and _switches(spark, store) == {}
+    assert [str(p) for p in compact_slots(spark, store)] == ["2024-01-01", "2024-01-02"]
+    assert {upto for upto, _ in _switches(spark, store).values()} == {0}
+    assert compact_slots(spark, store) == []
+    merge_slots(log((TR, slot("2024-01-02T10:30:00", 8, REALTIME), load_time(4))), store, 1)
+    remove(f"{store}/batches/batch=0")
+    assert rows(read_slots(spark, store)) == rows(silver.power_slots(log(*VERSIONS, (TR, slot("2024-01-02T10:30:00", 8, REALTIME), load_time(4)))))
+
+
+def test_only_touched_periods_are_compacted(spark, log):
+    store, batches = scratch_path(spark, "store"), [VERSIONS[:2], VERSIONS[2:4], VERSIONS[4:]]
+    for number, batch in enumerate(batches):
+        merge_slots(log(*batch), store, number)
+    assert [str(p) for p in compact_slots(spark, store, least=3)] == ["2024-01-01"]
+    assert {r[0] for r in spark.read.parquet(f"{store}/compacted").select(F.col("utc_period").cast("string")).distinct().collect()} == {"2024-01-01"}
+    assert rows(read_slots(spark, store)) == rows(silver.power_slots(log(*VERSIONS)))
+    # A later run of another period leaves the first one's rows where they are.
+    assert [str(p) for p in compact_slots(spark, store)] == ["2024-01-02"]
+    assert rows(read_slots(spark, store)) == rows(silver.power_slots(log(*VERSIONS)))
+    assert [str(p) for p in touched_periods(spark, store, after=1)] == ["2024-01-01", "2024-01-02"]
+    assert read_slots(spark, store, [date(2024, 1, 2)]).count() == 1
+
+
+@pytest.mark.parametrize("step", ["rows", "switch"])
+def test_a_stopped_compaction_can_be_repeated(spark, log, monkeypatch, step):
+    store = scratch_path(spark, "store")
+    for number, batch in enumerate((VERSIONS[:2], VERSIONS[2:4], VERSIONS[4:])):
+        merge_slots(log(*batch), store, number)
+    before = rows(read_slots(spark, store))
+    broken = {"rows": ("silver", None), "switch": ("_SWITCH", "no schema!")}[step]
+    switches = _switches(spark, store)
+    monkeypatch.setattr(slots_module, "_switches", lambda *_: switches)
+    monkeypatch.setattr(slots_module, *broken)
+    with pytest.raises(Exception):
+        compact_slots(spark, store)
+    monkeypatch.undo()
+    assert rows(read_slots(spark, store)) == before
+    assert len(compact_slots(spark, store)) == 2 and rows(read_slots(spark, store)) == before
+
+
+def test_a_reader_opens_a_bounded_number_of_files(spark, log):
+    """Twenty batches of one day: at most one compaction and three batches are left to read; a replay changes nothing."""
+    landing, store, checkpoint = (scratch_path(spark, n) for n in ("landing", "store", "checkpoint"))
+    versions = [(TR, slot("2024-01-02T10:15:00", k, REALTIME), load_time(1, k)) for k in range(12)]
+    for version in versions:
+        log(version).coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(log(versions[0]).schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    start_slot_stream(stream, store, checkpoint, UNTIL_CAUGHT_UP, compact_after=4).awaitTermination()
+    switches = _switches(spark, store)
+    assert max(upto for upto, _ in switches.values()) >= 7
+    opened = slots_module._live(spark, store).select(F.input_file_name()).distinct().count()
+    assert opened <= 4
+    merge_slots(log(versions[3]), store, 3)
+    assert rows(read_slots(spark, store)) == rows(silver.power_slots(log(*versions)))
+
+
 def test_slot_stream(spark, log):
     landing, store, checkpoint = (scratch_path(spark, n) for n in ("landing", "store", "checkpoint"))
     whole = log(*VERSIONS)
@@ -166,6 +235,31 @@ def test_landed_exports_to_the_log_cut_to_the_last_minutes(spark, tmp_path):
     assert {(r.source_dataset, r.extracted_for) for r in bronze.read(spark, log).collect()} == {(TR, "2026-10-05")}
 
 
+def test_a_stream_that_stood_still_loses_nothing(spark, tmp_path):
+    """Three exports land, six hours apart by their names or file times; the stream runs once, long after."""
+    landing, log, checkpoint = tmp_path / "in", scratch_path(spark, "log"), scratch_path(spark, "cp")
+    landing.mkdir()
+    asked = [load_time(h) for h in (2, 8, 14)]
+    for k, now in enumerate(asked):
+        records = [slot((now - timedelta(minutes=m)).isoformat(), 1) for m in (1, 119, 121)]
+        path = landing / (f"tr_{now:%Y%m%dT%H%M%SZ}.json" if k < 2 else "unnamed.json")
+        path.write_text(json.dumps(records, ensure_ascii=False))
+        os.utime(path, (load_time(23 if k < 2 else 14).timestamp(),) * 2)
+    stream = recent_power(landed.stream_documents(spark, str(landing)))
+    start_log_stream(stream, log, checkpoint, UNTIL_CAUGHT_UP).awaitTermination()
+    got = bronze.read(spark, log)
+    assert got.count() == 6
+    assert sorted(r.ingested_at.hour for r in got.select("ingested_at").distinct().collect()) == [2, 8, 14]
+    versions = slots_module.silver.power_slots(got).agg(F.max("ingested_at"), F.count("*")).first()
+    assert tuple(versions) == (asked[2].replace(tzinfo=None), 6)
+
+
+@pytest.mark.parametrize("name, want", [("x_20261005T020000Z.json", 2), ("asked=20261005T0300Z/a.json", 3), ("x_20261305T020000Z.json", None), ("plain.json", None)])
+def test_request_time_of_a_name(spark, name, want):
+    got = spark.range(1).select(landed.request_time(F.lit(f"file:/landing/{name}"))).first()[0]
+    assert (got and got.hour) == want
+
+
 def test_a_late_reading_leaves_the_windows_but_not_the_log(spark):
     """The third file holds a reading of a slot that the watermark has closed."""
     landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "out", "cp"))
