@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmart.operators.align import common_periods
 from gridmart.operators.change import month_over_month
-from gridmart.operators.checks import QualityError, Rule, freshness, gate, reconcile, run_checks
+from gridmart.operators.checks import UNIQUE, UNIQUE_COMBINATION, QualityError, Rule, freshness, gate, reconcile, run_checks
 from gridmart.operators.dedup import best_version
 from gridmart.operators.groupmean import gap_to_group_mean
 from gridmart.operators.parse import Field, json_texts, parse_records
@@ -124,6 +124,31 @@ def test_exact_median_of_skewed_values(spark):
     assert exact_median(df, "v", stage=stager(spark, "counts")).first()["median"] == median(v for v in values if v is not None)
 
 
+def test_exact_median_of_a_million_values_of_one_group(spark, plan):
+    """All different and far from each other, so no rounding makes bins of them; nothing is sorted by a window."""
+    ids = spark.range(0, 1_000_001, 1, 8)
+    df = ids.select(((F.col("id") - 500_000) * 1e9 + F.col("id") % 7).alias("v"), F.when(F.col("id") == 7, "x").alias("k"))
+    got = exact_median(df, "v")
+    assert got.first()["median"] == sorted((i - 500_000) * 1e9 + i % 7 for i in range(1_000_001))[500_000]
+    assert "Window" not in plan(got)
+    assert {r.k: r["median"] for r in exact_median(df.where("id < 10"), "v", ["k"]).collect()}["x"] == (7 - 500_000) * 1e9
+
+
+def test_exact_median_of_extreme_values(spark):
+    values = [1.7e308, -1.7e308, 5e-324, -5e-324, 0.0, 1e300, 1e-300, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert exact_median(df, "v").first()["median"] == 5e-324
+    assert exact_median(df.where("v is null"), "v").count() == 0
+
+
+def test_key_rules_of_a_table_share_one_shuffle(spark, plan):
+    df = spark.createDataFrame([(1, "x", None), (1, "x", None), (2, None, 1), (2, None, 2), (None, "y", 1)], "a int, b string, c int")
+    rules = [Rule("t", UNIQUE, ("a",)), Rule("t", UNIQUE, ("c",)), Rule("t", UNIQUE_COMBINATION, ("a", "b")), Rule("t", UNIQUE_COMBINATION, ("b", "a")), Rule("t", UNIQUE_COMBINATION, ("c",)), Rule("t", UNIQUE_COMBINATION, ("a", "b", "c"))]
+    checked = run_checks({"t": df}, rules)
+    assert [(r.target, r.failures) for r in checked.collect()] == [("a", 2), ("c", 1), ("a, b", 2), ("b, a", 2), ("c", 2), ("a, b, c", 1)]
+    assert len([x for x in plan(checked).splitlines() if x.startswith("Arguments: hashpartitioning")]) == 1
+
+
 RULES = [
     Rule("t", "not_null", ("a",)),
     Rule("t", "unique", ("a",)),
