@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ BRONZE_COLUMNS = tuple(BRONZE_SCHEMA.names)
 
 # Folders of the stored log: dataset, then day of the load
 FOLDERS = ("source_dataset", "ingest_day")
+# Ending of the folder of a log's ledger of loads
+LEDGER = "__loads"
 STORED_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, _column("ingest_day", T.DateType(), "Day of the load")])
 
 
@@ -68,19 +71,65 @@ def envelope(
     )
 
 
+LOADS_SCHEMA = "source_dataset string, n long, newest timestamp"
+
+
 def append(load: DataFrame, path: str) -> int:
     """Append a load to the log and return its number of rows; an empty load adds no file.
 
     The load is computed once: rows are counted as they are written. Files are laid out by dataset and day of load, and
     the rows of a folder are gathered first, so a folder gets as many files as its size asks for and not one for each
     task. A load repeated after a failure only adds versions that the Silver step removes, so a load can always be run
-    again.
+    again. Once it is written, the ledger of loads gets a row for each of its datasets.
     """
-    rows = Observation()
+    seen = Observation()
+    metrics = {
+        "n": F.count(F.lit(1)), "newest": F.max("ingested_at"), "oldest": F.min("ingested_at"),
+        "first": F.min("source_dataset"), "last": F.max("source_dataset"), "known": F.count("source_dataset"),
+    }
     # Counted above the shuffle: below it, the count goes with the plan that AQE drops for an empty load.
-    gathered = stored(load).hint("rebalance", *FOLDERS).observe(rows, F.count(F.lit(1)).alias("n"))
+    gathered = stored(load).hint("rebalance", *FOLDERS).observe(seen, *[m.alias(name) for name, m in metrics.items()])
     gathered.write.mode("append").partitionBy(*FOLDERS).parquet(path)
-    return rows.get["n"]
+    got = seen.get
+    if got["n"]:
+        _enter(load.sparkSession, path, got)
+    return got["n"]
+
+
+def _enter(spark: SparkSession, path: str, seen: dict) -> None:
+    """The ledger's rows of a load. Only a load of several datasets is looked at again, in two columns of its own days."""
+    if seen["first"] == seen["last"] and seen["known"] == seen["n"]:
+        rows = spark.createDataFrame([(seen["first"], seen["n"], seen["newest"])], LOADS_SCHEMA)
+    else:
+        oldest, newest = (F.lit(seen[k]).cast("timestamp") for k in ("oldest", "newest"))
+        own = F.col("ingest_day").between(F.to_date(oldest), F.to_date(newest)) & F.col("ingested_at").between(oldest, newest)
+        load = spark.read.schema(STORED_SCHEMA).parquet(path).where(own)
+        rows = load.groupBy("source_dataset").agg(F.count("*").alias("n"), F.max("ingested_at").alias("newest"))
+    rows.coalesce(1).write.mode("append").parquet(f"{path}{LEDGER}")
+
+
+def loads(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger of a log's loads: source_dataset, n (rows) and newest (time of the load); a few rows for each load."""
+    empty = spark.createDataFrame([], LOADS_SCHEMA)
+    empty.write.mode("ignore").parquet(f"{path}{LEDGER}")
+    return spark.read.schema(LOADS_SCHEMA).parquet(f"{path}{LEDGER}")
+
+
+def newest_streamed(spark: SparkSession, path: str) -> DataFrame:
+    """(source_dataset, newest) of what a stream appended; of each dataset only the last day's files are read."""
+    log = spark.read.schema(STORED_SCHEMA).parquet(path)
+    days: dict[str, str] = {}
+    for name in log.inputFiles():
+        dataset, day = (unquote(unquote(part.split("=", 1)[1])) for part in name.split("/")[-3:-1])
+        days[dataset] = max(day, days.get(dataset, ""))
+    places = F.array(*[F.concat_ws("/", F.lit(dataset), F.lit(day)) for dataset, day in days.items()]).cast("array<string>")
+    last = log.where(F.array_contains(places, F.concat_ws("/", "source_dataset", F.col("ingest_day").cast("string"))))
+    return last.groupBy("source_dataset").agg(F.max("ingested_at").alias("newest"))
+
+
+def rows_loaded(spark: SparkSession, path: str) -> int:
+    """Rows of all loads so far, by the ledger."""
+    return loads(spark, path).agg(F.sum("n")).first()[0] or 0
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

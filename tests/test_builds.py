@@ -1,0 +1,193 @@
+"""Builds behind one pointer, and tables brought up to date from what changed."""
+
+import random
+import shutil
+from dataclasses import replace
+from datetime import date, timedelta
+from pathlib import Path
+
+import pytest
+from conftest import load_time
+from pyspark.sql import functions as F
+from test_models import CD, FINAL, REALTIME, TR, observation, opinion, place, slot
+
+from gridmart import feeds
+from gridmart.operators.checks import NOT_NULL, QualityError, Rule
+from gridmart.plans.incremental import update
+from gridmart.plans.refresh import newest_loads, power_freshness, rebuild
+from gridmart.session import scratch_path
+from gridmart.sources import bronze
+from gridmart.sources.builds import Builds
+from gridmart.sources.tables import Layers, stager
+from gridmart.streaming.slots import merge_slots
+
+TABLES = {
+    "silver": (feeds.SLOTS, feeds.MONTHS, feeds.ANNUAL, feeds.INDEX, feeds.SURVEY),
+    "gold": (feeds.BALANCE, feeds.INDUSTRIAL, feeds.MIX, feeds.INDICATORS),
+}
+
+
+LENIENT = [Rule(feeds.MIX, NOT_NULL, ("mois",))]
+
+
+def some_layers(spark, name):
+    layers = Layers(spark, scratch_path(spark, "layers"), base=name, isolated=True)
+    for table in feeds.BRONZE_TABLES:
+        layers.create_log(table)
+    return layers
+
+
+def load_series(layers, log):
+    rows = {
+        feeds.RAW_ANNUAL: [("d", place(), load_time(1))],
+        feeds.RAW_INDEX: [("s", observation(f"2024-{m:02d}", 90 + m), load_time(1)) for m in (1, 2, 3)],
+        feeds.RAW_SURVEY: [("s", opinion(f"2024-{m:02d}", 100 + m), load_time(1)) for m in (1, 2, 3)],
+    }
+    for table, own in rows.items():
+        bronze.append(log(*own), layers.log_paths(table)[0])
+
+
+def content(layers):
+    return {t: sorted(map(str, layers.table(layer, t).collect())) for layer, tables in TABLES.items() for t in tables}
+
+
+@pytest.mark.parametrize("step", ["list", "marks", "current"])
+def test_readers_see_one_build_wherever_a_publication_stops(spark, monkeypatch, step):
+    layers = Layers(spark, scratch_path(spark, "layers"), base=f"pointer_{step}", isolated=True)
+    builds = Builds(layers)
+
+    def write(build, value):
+        a = builds.write(spark.range(4).withColumn("v", F.lit(value)), "silver", "a", build, by=("part", (F.col("id") % 2).cast("string")))
+        b = builds.write(spark.range(4).withColumn("w", F.lit(value)), "gold", "b", build)
+        return [a, b]
+
+    def seen():
+        joined = layers.table("silver", "a").join(layers.table("gold", "b"), "id")
+        return {(r.v, r.w) for r in joined.collect()}, joined.count()
+
+    builds.publish(write("build=1", 1))
+    assert seen() == ({(1, 1)}, 4)
+    parts, add = write("build=2", 2), Builds._add
+
+    def stops(self, name, rows, ddl):
+        if name == step:
+            raise RuntimeError("stopped")
+        add(self, name, rows, ddl)
+
+    monkeypatch.setattr(Builds, "_add", stops)
+    with pytest.raises(RuntimeError):
+        builds.publish(parts)
+    monkeypatch.undo()
+    assert seen() == ({(1, 1)}, 4) and builds.current().places["b"] == ["build=1"]
+    builds.publish(parts)
+    assert seen() == ({(2, 2)}, 4)
+
+
+def test_only_folders_of_the_current_build_are_read(spark):
+    """Rows of the first build are gone from the disk; the view of the second one does not look for them."""
+    layers = Layers(spark, scratch_path(spark, "layers"), base="listed", isolated=True)
+    builds = Builds(layers)
+    first = builds.write(spark.range(6), "gold", "t", "build=01", by=("part", (F.col("id") % 3).cast("string")))
+    builds.publish([first])
+    second = builds.write(spark.range(10, 12), "gold", "t", "build=2", by=("part", F.lit("1")))
+    merged = replace(second, places=("build=01/part=0", *second.places))
+    builds.publish([merged])
+    assert sorted(r.id for r in layers.table("gold", "t").collect()) == [0, 3, 10, 11]
+    for name in ("1", "2"):
+        folder = f"{layers.path('gold', 't')}/build=01/part={name}".removeprefix("file:")
+        for file in Path(folder).glob("part-*"):
+            file.write_bytes(b"no parquet")
+        for file in Path(folder).glob(".part-*"):
+            file.unlink()
+    assert sorted(tuple(r) for r in layers.table("gold", "t").collect()) == [(0, "0"), (3, "0"), (10, "1"), (11, "1")]
+
+
+def test_a_batch_of_one_day_writes_its_month_alone(spark, log):
+    layers, store = some_layers(spark, "daily"), scratch_path(spark, "store")
+    load_series(layers, log)
+    first = [(CD, slot(f"2024-{m:02d}-{d:02d}T{h:02d}:30:00", 1000 + h, FINAL, eolien=100, solaire=h), load_time(1)) for m in (1, 2, 3) for d in (5, 28) for h in (0, 12, 23)]
+    day = [(TR, slot(f"2024-02-06T{h:02d}:15:00", 900 + h, REALTIME, eolien=90), load_time(2)) for h in range(0, 24, 4)]
+    merge_slots(log(*first), store, 0)
+    update(layers, store, "build=1", stage=stager(spark, "means"))
+    before = Builds(layers).current()
+    merge_slots(log(*day), store, 1)
+    done = update(layers, store, "build=2")
+    assert {tuple(r) for r in done.changes.collect()} == {("52", "2024-02", "2024-02")}
+    after = Builds(layers).current()
+    for table, month in ((feeds.SLOTS, "utc_month"), (feeds.BALANCE, "local_month")):
+        assert set(after.places[table]) - set(before.places[table]) == {f"build=2/{month}=2024-02"}
+        assert len(after.places[table]) == len(before.places[table])
+    for table in (feeds.ANNUAL, feeds.INDEX, feeds.SURVEY, feeds.INDUSTRIAL):
+        assert after.places[table] == ["build=1"]
+    got = content(layers)
+
+    other = some_layers(spark, "daily_whole")
+    load_series(other, log)
+    bronze.append(log(*first, *day), other.log_paths(feeds.RAW_POWER)[0])
+    rebuild(other, "build=1")
+    assert got == content(other)
+    # Nothing new: nothing is written for slots and balances.
+    again = update(layers, store, "build=3")
+    assert again.changes.count() == 0 and content(layers) == got
+    assert Builds(layers).current().places[feeds.BALANCE] == after.places[feeds.BALANCE]
+
+
+def test_updates_equal_rebuilds(spark, log):
+    """Random batches with late, better, repeated and oddly dated versions; after some, an update or a rebuild."""
+    layers, store, r = some_layers(spark, "random"), scratch_path(spark, "store"), random.Random(8)
+    load_series(layers, log)
+    everything, start = [], date(2024, 1, 28)
+    for number in range(4):
+        batch = []
+        for _ in range(25):
+            day = start + timedelta(days=r.randint(0, 40))
+            record = slot(f"{day}T{r.choice((0, 12, 23))}:30:00".replace("T0:", "T00:"), r.choice([None, 5, 7, 9]), r.choice([FINAL, REALTIME]), eolien=r.randint(0, 9))
+            if r.random() < 0.2:
+                record["date"] = r.choice(["2024-02-29", "1999-12-31", "2024-03-01"])
+            batch.append((r.choice([CD, TR]), record, load_time(number, r.randint(0, 59))))
+        everything += batch
+        merge_slots(log(*batch), store, number)
+        if number == 1:
+            bronze.append(log(("s", observation("2024-02", 50), load_time(5))), layers.log_paths(feeds.RAW_INDEX)[0])
+        if number != 2:
+            update(layers, store, f"build={number}", rules=LENIENT)
+    other = some_layers(spark, "random_whole")
+    load_series(other, log)
+    bronze.append(log(("s", observation("2024-02", 50), load_time(5))), other.log_paths(feeds.RAW_INDEX)[0])
+    bronze.append(log(*everything), other.log_paths(feeds.RAW_POWER)[0])
+    rebuild(other, "build=1", rules=LENIENT)
+    assert content(layers) == content(other)
+
+
+def test_an_update_that_fails_its_checks_changes_nothing(spark, log):
+    layers, store = some_layers(spark, "gated"), scratch_path(spark, "store")
+    load_series(layers, log)
+    merge_slots(log((CD, slot("2024-02-05T10:00:00", 5, FINAL, eolien=1), load_time(1))), store, 0)
+    update(layers, store, "build=1")
+    before = content(layers)
+    merge_slots(log((CD, slot("2024-02-06T10:00:00", 5, FINAL, eolien=1, code_insee_region="53"), load_time(1))), store, 1)
+    with pytest.raises(QualityError, match="code_insee_region"):
+        update(layers, store, "build=2")
+    assert content(layers) == before
+
+
+def test_freshness_comes_from_the_ledger(spark, log, plan):
+    layers = some_layers(spark, "ledger")
+    path = layers.log_paths(feeds.RAW_POWER)[0]
+    bronze.append(log((CD, {"i": 1}, load_time(1)), (TR, {"i": 2}, load_time(3)), (TR, {"i": 3}, load_time(2))), path)
+    bronze.append(log((CD, {"i": 4}, load_time(5))), path)
+    bronze.append(log((CD, {"i": 5}, load_time(9))).where("false"), path)
+    entered = sorted((r.source_dataset, r.n, r.newest.hour) for r in bronze.loads(spark, path).collect())
+    assert entered == sorted([(CD, 1, 1), (TR, 2, 3), (CD, 1, 5)]) and bronze.rows_loaded(spark, path) == 4
+    # The files of the loads are gone: freshness does not read them.
+    shutil.rmtree(path.removeprefix("file:"))
+    assert power_freshness(layers, load_time(6)).first().age_minutes == 60
+
+
+def test_freshness_of_streamed_records(spark, log):
+    layers = some_layers(spark, "ledger_stream")
+    streamed = layers.log_paths(feeds.RAW_POWER)[1]
+    rows = [(TR, {"i": 1}, load_time(1) - timedelta(days=1)), (TR, {"i": 2}, load_time(7)), (CD, {"i": 3}, load_time(2) - timedelta(days=3))]
+    bronze.stored(log(*rows)).write.partitionBy(*bronze.FOLDERS).mode("append").parquet(streamed)
+    newest = {r.source_dataset: r.newest for r in newest_loads(layers, feeds.RAW_POWER).where("source_dataset <> '__none__'").collect()}
+    assert {k: (v.day, v.hour) for k, v in newest.items()} == {TR: (5, 7), CD: (2, 2)}
