@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,13 +88,18 @@ VERSION = "version_hash"
 _CARRY = ("source_dataset", "ingested_at")
 
 
-def typed(bronze: DataFrame, fields: Sequence[Field], required: Sequence[str]) -> DataFrame:
+#: What is done with the versions of a table before one of each key is chosen.
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def typed(bronze: DataFrame, fields: Sequence[Field], required: Sequence[str], watch: Watch | None = None) -> DataFrame:
     """Typed versions with the columns they compete on; rows without a required value are out.
 
     The hash of the record settles ties between versions of one load, so every run picks the same one.
     """
     versions = parse_records(bronze, fields, (*_CARRY, F.xxhash64("payload").alias(VERSION)))
-    return complete_rows(versions, required)
+    complete = complete_rows(versions, required)
+    return watch(complete) if watch else complete
 
 
 def newest(versions: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -105,9 +110,9 @@ def with_key(rows: DataFrame, name: str, key: Sequence[str]) -> DataFrame:
     return rows.drop(VERSION).select(surrogate_key(*key).alias(name), "*")
 
 
-def slot_versions(bronze: DataFrame) -> DataFrame:
+def slot_versions(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
     """Versions of power slots. Slots published ahead without consumption must not compete."""
-    return typed(bronze, SLOT_FIELDS, (*SLOT_KEY, "consommation_mw"))
+    return typed(bronze, SLOT_FIELDS, (*SLOT_KEY, "consommation_mw"), watch)
 
 
 def best_slots(versions: DataFrame) -> DataFrame:
@@ -116,9 +121,9 @@ def best_slots(versions: DataFrame) -> DataFrame:
     return best_version(versions, SLOT_KEY, [rank, F.desc("ingested_at"), F.desc(VERSION)])
 
 
-def power_slots(bronze: DataFrame) -> DataFrame:
+def power_slots(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
     """One row per region and slot."""
-    return with_key(best_slots(slot_versions(bronze)), "rte_ecomix_id", SLOT_KEY)
+    return with_key(best_slots(slot_versions(bronze, watch)), "rte_ecomix_id", SLOT_KEY)
 
 
 def power_months(slots: DataFrame, dataset: str = feeds.DATASET_CONSOLIDATED) -> DataFrame:
@@ -153,17 +158,17 @@ def power_months(slots: DataFrame, dataset: str = feeds.DATASET_CONSOLIDATED) ->
     )
 
 
-def annual_consumption(bronze: DataFrame) -> DataFrame:
+def annual_consumption(bronze: DataFrame, watch: Watch | None = None, key: Sequence[str] = ANNUAL_KEY) -> DataFrame:
     """One row per year, commune, sector, NAF2 division (may be NULL) and category."""
     required = ("annee", "code_commune", "code_grand_secteur")
-    return with_key(newest(typed(bronze, ANNUAL_FIELDS, required), ANNUAL_KEY), "enedis_conso_id", ANNUAL_KEY)
+    return with_key(newest(typed(bronze, ANNUAL_FIELDS, required, watch), key), "enedis_conso_id", key)
 
 
-def production_index(bronze: DataFrame) -> DataFrame:
+def production_index(bronze: DataFrame, watch: Watch | None = None, key: Sequence[str] = INDEX_KEY) -> DataFrame:
     """One row per series and month, newest published value."""
-    return with_key(newest(typed(bronze, INDEX_FIELDS, INDEX_KEY), INDEX_KEY), "insee_ipi_id", INDEX_KEY)
+    return with_key(newest(typed(bronze, INDEX_FIELDS, INDEX_KEY, watch), key), "insee_ipi_id", key)
 
 
-def business_survey(bronze: DataFrame) -> DataFrame:
+def business_survey(bronze: DataFrame, watch: Watch | None = None, key: Sequence[str] = SURVEY_KEY) -> DataFrame:
     """One row per series and month, newest published value."""
-    return with_key(newest(typed(bronze, SURVEY_FIELDS, SURVEY_KEY), SURVEY_KEY), "bdf_pmi_id", SURVEY_KEY)
+    return with_key(newest(typed(bronze, SURVEY_FIELDS, SURVEY_KEY, watch), key), "bdf_pmi_id", key)

@@ -13,6 +13,7 @@ from test_models import CD, FINAL, REALTIME, TR, observation, opinion, place, sl
 
 from gridmart import feeds
 from gridmart.operators.checks import NOT_NULL, QualityError, Rule
+from gridmart.plans import silver
 from gridmart.plans.incremental import update
 from gridmart.plans.refresh import newest_loads, power_freshness, rebuild
 from gridmart.session import scratch_path
@@ -191,3 +192,26 @@ def test_freshness_of_streamed_records(spark, log):
     bronze.stored(log(*rows)).write.partitionBy(*bronze.FOLDERS).mode("append").parquet(streamed)
     newest = {r.source_dataset: r.newest for r in newest_loads(layers, feeds.RAW_POWER).where("source_dataset <> '__none__'").collect()}
     assert {k: (v.day, v.hour) for k, v in newest.items()} == {TR: (5, 7), CD: (2, 2)}
+
+
+def test_a_key_one_column_short_stops_the_build(spark, log):
+    """The key of what is left is unique, so no constraint would see it; the ledger says what was lost."""
+    layers = some_layers(spark, "short")
+    rows = [place(code_secteur_naf2=str(k), conso_totale_mwh=str(10 + k)) for k in range(4)]
+    bronze.append(log(*[("d", row, load_time(1)) for row in rows]), layers.log_paths(feeds.RAW_ANNUAL)[0])
+    bronze.append(log(*[("d", row, load_time(2)) for row in rows]), layers.log_paths(feeds.RAW_ANNUAL)[0])
+    bronze.append(log((CD, slot("2024-01-05T00:30:00", 7, FINAL), load_time(1)), (CD, slot("2024-01-05T00:30:00", 9, FINAL), load_time(3))), layers.log_paths(feeds.RAW_POWER)[0])
+    rebuild(layers, "build=1", LENIENT)
+    path = layers.path("quality", "reconciliation")
+    ledger = {r.table_name: r for r in spark.read.parquet(f"{path}/build=1").collect()}
+    annual, slots = ledger[feeds.ANNUAL], ledger[feeds.SLOTS]
+    assert (annual.rows_in, annual.rows_out, annual.rows_lost, annual.newest_in, annual.newest_out) == (8, 4, 4, 4, 4)
+    assert annual.total_in == annual.total_out == 46 and annual.balanced
+    assert (slots.rows_lost, slots.newest_in, slots.newest_out, slots.balanced) == (1, 1, 1, True)
+    assert ledger[feeds.SURVEY].balanced and ledger[feeds.SURVEY].rows_in == 0
+    short = lambda bronze_rows, watch=None: silver.annual_consumption(bronze_rows, watch, [c for c in silver.ANNUAL_KEY if c != "code_secteur_naf2"])
+    with pytest.raises(QualityError, match="stg_enedis_conso: 1 of 4 rows"):
+        rebuild(layers, "build=2", LENIENT, models={feeds.ANNUAL: short})
+    assert layers.table("silver", feeds.ANNUAL).count() == 4
+    lost = spark.read.parquet(f"{path}/build=2").where(f"table_name = '{feeds.ANNUAL}'").first()
+    assert (lost.rows_lost, lost.newest_in, lost.newest_out, lost.balanced) == (7, 4, 1, False) and lost.total_in - lost.total_out > 30
