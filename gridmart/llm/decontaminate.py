@@ -8,6 +8,7 @@ value that fills the item's slots there must stand for one value of the document
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import ROW, arrow_batch, per_batch, row_key, rows, texts
+from gridmart.llm.common import ROW, arrow_batch, per_batch, row_key, staged, texts
 from gridmart.llm.shingles import mixed
 
 #: Words that name a unit after a number.
@@ -39,6 +40,7 @@ MIN_LITERALS = 5
 DRIFT = 8
 #: Words of an item in one piece that count whatever their share of the item is.
 PASSAGE = 50
+_GROUP_BYTES = 1 << 18
 
 _WINDOWS = "h long, pos int, slots array<long>, exact boolean"
 _FOUND = "cover double, n_windows long, n_slots long, kind string"
@@ -66,40 +68,46 @@ class _Words(dict):
 
 
 class Templates:
-    """Windows of a text's template: hashes, positions, and what fills the slots."""
-
-    def __init__(self, lengths: list[int]) -> None:
-        self.lengths, self.words = lengths, _Words()
-
-    def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Template words, and what fills their slots (0 for a word that stays)."""
-        split = text.split()
-        coded = np.fromiter(map(self.words.__getitem__, split), np.uint64, len(split))
-        coded = coded[coded != 0]
+    """Words of texts as a template: slots, and what fills them."""
+
+    def __init__(self) -> None:
+        self.words = _Words()
+
+    def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Template words of texts one after the other, what fills their slots (0 for a word that stays), and the text of each."""
+        split = [text.split() for text in texts]
+        sizes = [len(words) for words in split]
+        coded = np.fromiter(map(self.words.__getitem__, itertools.chain.from_iterable(split)), np.uint64, sum(sizes))
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        stays = coded != 0
+        coded, owner = coded[stays], owner[stays]
         flags = coded & np.uint64(15)
         values = coded & ~np.uint64(15)
+        begins = np.ones(len(owner), bool)
+        begins[1:] = owner[1:] != owner[:-1]
+
+        def behind(flag: int) -> np.ndarray:
+            """Whether the word before, in the same text, has a flag."""
+            has = np.zeros(len(flags), bool)
+            has[1:] = (flags[:-1] & np.uint64(flag)) > 0
+            return has & ~begins
+
         number = (flags & np.uint64(1)) > 0
-        after = lambda x, first: np.concatenate([[first], x[:-1]]) if len(x) else x
-        name = ((flags & np.uint64(2)) > 0) & ~after((flags & np.uint64(4)) > 0, True)
-        unit = ((flags & np.uint64(8)) > 0) & after(number, False)
+        name = ((flags & np.uint64(2)) > 0) & ~begins & ~behind(4)
+        unit = ((flags & np.uint64(8)) > 0) & behind(1)
         template = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, values)))
-        return template, np.where(number | unit | name, values | np.uint64(16), np.uint64(0))
-
-    def windows(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
-        """For each length: the windows' hashes with and without slots, the slots of the text, and its template words."""
-        template, slots = self.tokens(text)
-        # A word counts the same here whether it fills a slot or not.
-        written = np.where(slots != 0, slots, template) | np.uint64(16)
-        spread, spread_written = mixed(template), mixed(written + _EXACT)
-        for size in self.lengths:
-            n = len(template) - size + 1
-            if n < 1:
-                continue
-            hashes, exact = np.full(n, size, np.uint64), np.full(n, size, np.uint64)
-            for k in range(size):
-                hashes += spread[k : k + n] * _ODD[k]
-                exact += spread_written[k : k + n] * _ODD[k]
-            yield mixed(hashes).view(np.int64), mixed(exact + _EXACT).view(np.int64), slots, template, size
+        return template, np.where(number | unit | name, values | np.uint64(16), np.uint64(0)), owner
+
+
+def _hashes(template: np.ndarray, slots: np.ndarray, size: int, exact: bool) -> np.ndarray:
+    """Hashes of all windows of ``size``: of the template, or of the words as written, the same whether they fill a slot or not."""
+    words = np.where(slots != 0, slots, template) | np.uint64(16) if exact else template
+    spread = mixed(words + _EXACT if exact else words)
+    n = len(spread) - size + 1
+    hashes = np.full(n, size, np.uint64)
+    for k in range(size):
+        hashes += spread[k : k + n] * _ODD[k]
+    return mixed(hashes + _EXACT if exact else hashes).view(np.int64)
 
 
 def _telling(template: np.ndarray, slots: np.ndarray, size: int) -> np.ndarray:
@@ -108,36 +116,55 @@ def _telling(template: np.ndarray, slots: np.ndarray, size: int) -> np.ndarray:
     return np.array([len(np.unique(w := words[at : at + size])) - (0 in w) >= MIN_LITERALS for at in range(len(words) - size + 1)], bool)
 
 
-def _window_table(df: DataFrame, ids: list, id_schema: str, lengths: list[int], bits: np.ndarray | None = None) -> DataFrame:
+def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts in runs of about ``_GROUP_BYTES``, so that short ones share what each numpy call costs."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > _GROUP_BYTES:
+            yield first, texts[first:i]
+            first, size = i, 0
+        size += len(text)
+    if texts:
+        yield first, texts[first:]
+
+
+def _window_table(df: DataFrame, ids: list, id_schema: str, kinds: list[tuple[int, bool]], bits: dict[bool, np.ndarray] | None = None) -> DataFrame:
     """Windows of each text: id columns, h, pos, what fills the slots, and whether h is of the words as written.
 
-    With ``bits`` those that the table knows, else all: the telling ones by template, the others as written.
+    ``kinds`` are the windows' lengths, and whether they are taken as written. With ``bits`` those that the table of their
+    kind knows, else all: the telling ones by template, the others as written.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates(lengths)
+        templates = Templates()
         for batch in batches:
-            index, hashes, places, filled, exact = [], [], [], [], []
-            for i, text in enumerate(texts(batch)):
-                for h, written, slots, template, size in templates.windows(text):
-                    telling = _telling(template, slots, size) if bits is None else None
-                    for hashed, is_exact in ((h, False), (written, True)):
-                        if bits is None:
-                            pos = np.flatnonzero(telling != is_exact)
-                        else:
-                            low = hashed & (BITS - 1)
-                            pos = np.flatnonzero((bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1)
-                        index += [i] * len(pos)
-                        hashes.append(hashed[pos])
-                        places += pos.tolist()
-                        filled += [slots[p : p + size].view(np.int64) for p in pos.tolist()]
-                        exact += [is_exact] * len(pos)
-            at = pa.array(index, pa.int64())
+            index, hashes, places, filled, lengths, exact = [], [], [], [], [], []
+            for first, group in _groups(texts(batch)):
+                template, slots, owner = templates.tokens(group)
+                starts = np.searchsorted(owner, np.arange(len(group)))
+                for size, is_exact in kinds:
+                    if len(template) < size:
+                        continue
+                    h = _hashes(template, slots, size, is_exact)
+                    whole = owner[: len(h)] == owner[size - 1 :]
+                    if bits is None:
+                        chosen = whole & (_telling(template, slots, size) != is_exact)
+                    else:
+                        low = h & (BITS - 1)
+                        chosen = whole & ((bits[is_exact][low >> 3] >> (low & 7).astype(np.uint8)) & 1).astype(bool)
+                    pos = np.flatnonzero(chosen)
+                    index.append(owner[pos] + first)
+                    hashes.append(h[pos])
+                    places.append(pos - starts[owner[pos]])
+                    filled.append(slots[pos[:, None] + np.arange(size)].reshape(-1))
+                    lengths.append(np.full(len(pos), size))
+                    exact.append(np.full(len(pos), is_exact))
+            joined = lambda parts, dtype: np.concatenate([np.empty(0, dtype), *parts]).astype(dtype)
+            at = pa.array(joined(index, np.int64))
             columns = {c: batch.column(c).take(at) for c in batch.schema.names if c != "text"}
-            yield arrow_batch(
-                **columns, h=np.concatenate(hashes) if hashes else np.empty(0, np.int64), pos=pa.array(places, pa.int32()),
-                slots=pa.array(filled, pa.list_(pa.int64())), exact=pa.array(exact, pa.bool_()),
-            )
+            ends = np.concatenate([[0], np.cumsum(joined(lengths, np.int64))]).astype(np.int32)
+            slot_lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(joined(filled, np.uint64).view(np.int64)))
+            yield arrow_batch(**columns, h=joined(hashes, np.int64), pos=joined(places, np.int32), slots=slot_lists, exact=pa.array(joined(exact, bool)))
 
     return df.select(*ids, "text").mapInArrow(scan, f"{id_schema}, {_WINDOWS}")
 
@@ -157,9 +184,9 @@ def _item_sizes(benchmark: DataFrame) -> DataFrame:
     """item_id and the number of template words of each item."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates([])
+        templates = Templates()
         for batch in batches:
-            sizes = [len(templates.tokens(text)[0]) for text in texts(batch)]
+            sizes = [len(templates.tokens([text])[0]) for text in texts(batch)]
             yield arrow_batch(item_id=batch.column("item_id"), item_words=pa.array(sizes, pa.int32()))
 
     return benchmark.select("item_id", "text").mapInArrow(scan, "item_id long, item_words int")
@@ -218,12 +245,11 @@ def _judged(min_cover: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
 
     def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
         index, out = [], []
-        for k, (words, telling, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("item_words", "item_telling", "at")))):
+        for k, (words, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("item_words", "at")))):
             told = []
             for chain in map(_consistent, _chains(at, words)):
                 covered = _covered(chain)
-                by_template = len(_covered([w for w in chain if not w["exact"]]))
-                cover = max(len(covered) / words, by_template / telling if telling else 0.0)
+                cover = len(covered) / words
                 if cover >= min_cover or _longest(covered) >= PASSAGE:
                     slots = {p for w in chain for p in _pairs(w)}
                     told.append((cover, len(chain), len(slots), "reparameterised" if any(i != d for i, d in slots) else "verbatim"))
@@ -237,40 +263,47 @@ def _judged(min_cover: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     return judge
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: float = 0.5) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_cover: float = 0.5, rare: int = 10) -> DataFrame:
     """A row for each distinct document and benchmark item that it holds.
 
-    Columns: doc_id, item_id, n_windows, cover (share of the item's words inside matching windows, or of those in windows
-    that can be matched by template, if that is more), n_slots (slots of the item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
+    Columns: doc_id, item_id, n_windows, cover (share of the item's words inside matching windows), n_slots (slots of the
+    item that were compared), kind and the row key. kind is ``verbatim`` if all slots hold the same, and
     ``reparameterised`` if they differ by a replacement; windows whose slots contradict the rest of a match do not count.
     A pair counts from a cover of ``min_cover`` at one alignment, or with 50 words of the item in one piece; an alignment
-    goes on over inserted and left out words, up to 8 at a place. Items of fewer than ``window`` words are one
-    window, however short. Windows with fewer than 5 different words beside their slots are matched verbatim only.
+    goes on over inserted and left out words, up to 8 at a place. Windows with fewer than 5 different words beside their
+    slots are matched verbatim only. Items of fewer than ``window`` words are one window, however short. Such an item
+    says little where it stands in many documents: its kind is ``short`` if it has fewer than 3 words, or if more than
+    ``rare`` different documents hold it. Of several alignments of a pair that of the greatest cover is told, of equals
+    the one with more windows, then slots.
 
-    Null or empty texts hold nothing, on either side; items without an id are ignored, and repeated items count once.
+    Texts may have any length and are read whole. Null or empty texts hold nothing, on either side; items without an id are ignored, and repeated items count once.
     Repeated rows give one result, rows that share an id or have none one each. Other columns are not read. Empty tables
     give an empty one.
     """
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL").dropDuplicates()
     sizes = _item_sizes(items)
     short = [r.item_words for r in sizes.where(F.col("item_words").between(1, window - 1)).select("item_words").distinct().collect()]
-    item_windows = _window_table(items, ["item_id"], "item_id long", sorted({*short, window}))
+    kinds = [(size, exact) for size in sorted({*short, window}) for exact in (False, True)]
+    item_windows = _window_table(items, ["item_id"], "item_id long", kinds)
     item_windows = item_windows.join(sizes, "item_id").where(F.size("slots") == F.least("item_words", F.lit(window)))
     # A window that an item repeats stands for its first place, so a match is one row for each place in the document.
-    item_windows = item_windows.groupBy("item_id", "h").agg(F.min(F.struct("pos", "slots", "exact")).alias("at")).select("item_id", "h", "at.*")
-    places = F.sequence("pos", F.col("pos") + F.size("slots") - 1)
-    covered = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places))))
-    reach = item_windows.groupBy("item_id").agg(covered(places).alias("item_words"), covered(F.when(~F.col("exact"), places)).alias("item_telling"))
-    item_windows = item_windows.join(reach, "item_id")
-    bits = _bit_table(item_windows)
-
-    hits = _window_table(docs, row_key(), "__row_id long, __row_hash long", sorted({*short, window}), bits)
-    theirs = item_windows.select("h", "exact", "item_id", "item_words", "item_telling", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    at = F.min(F.struct("pos", "slots", "exact")).alias("at")
+    item_windows = staged(item_windows.groupBy("item_id", "item_words", "h").agg(at).select("item_id", "item_words", "h", "at.*"), "item_windows")
+    # Only windows of a length and kind that the benchmark has can match, so only those are hashed.
+    kinds = sorted((r.size, r.exact) for r in item_windows.select(F.size("slots").alias("size"), "exact").distinct().collect())
+    bits = {exact: _bit_table(item_windows.where(F.col("exact") == exact)) for exact in {exact for _, exact in kinds}}
+
+    hits = _window_table(docs, row_key(), "__row_id long, __row_hash long", kinds, bits)
+    theirs = item_windows.select("h", "exact", "item_id", "item_words", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     same = F.when(F.col("exact"), F.col("item_slots")).otherwise(F.col("slots"))
     matched = hits.distinct().join(theirs, ["h", "exact"]).withColumn("slots", same)
     # Windows of one document, so a group is no larger than that.
     at = F.collect_list(F.struct("pos", "item_pos", "slots", "item_slots", "exact")).alias("at")
-    grouped = matched.groupBy(*ROW, "item_id", "item_words", "item_telling").agg(at)
-    found = grouped.mapInArrow(per_batch(_judged(min_cover)), f"__row_id long, __row_hash long, item_id long, {_FOUND}")
+    grouped = matched.groupBy(*ROW, "item_id", "item_words").agg(at)
+    found = staged(grouped.mapInArrow(per_batch(_judged(min_cover)), f"__row_id long, __row_hash long, item_id long, {_FOUND}"), "leaks")
+    held = found.groupBy("item_id").agg(F.count("*").alias("holders")).join(sizes, "item_id")
+    tiny = (F.col("item_words") < 3) | (F.col("holders") > rare)
+    common = held.where((F.col("item_words") < window) & tiny).select("item_id", F.lit("short").alias("as"))
+    told = found.join(common, "item_id", "left").withColumn("kind", F.coalesce("as", "kind"))
     ids = docs.select("doc_id", *row_key()).distinct()
-    return ids.join(found, list(ROW)).select("doc_id", "item_id", "n_windows", "cover", "n_slots", "kind", *ROW)
+    return ids.join(told, list(ROW)).select("doc_id", "item_id", "n_windows", "cover", "n_slots", "kind", *ROW)
