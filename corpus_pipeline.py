@@ -28,28 +28,44 @@ def _with_text(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, without the lines that fail."""
+    """Documents that the quality rules keep, without the lines that fail.
+
+    Null and empty texts fail. Rows are judged one by one: repeated rows stay repeated, null ids stay null, long texts are
+    read whole. Columns of any other name pass. An empty table gives an empty one.
+    """
     return _with_text(docs, quality_rules(docs).where("kept"), "clean_text")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that stand in ten of them or more."""
+    """All documents, without the lines that stand in ten of them or more.
+
+    A null text becomes an empty one. Rows equal in id and text count as one document and stay repeated; a null id stays
+    null. Columns of any other name pass. An empty table gives an empty one.
+    """
     return _with_text(docs, line_dedup(docs, min_docs=10, min_chars=1, keep="none"), "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest doc_id."""
+    """One document of each group of near copies, that of the smallest doc_id; of equal ids, that of the smallest text hash.
+
+    Repeated rows become one. Null, empty and wordless texts are alike to none. A null id sorts as 0 and stays null. All
+    columns pass. An empty table gives an empty one.
+    """
     return first_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(*ROW).distinct()
+    """Documents that hold no benchmark item; an item of a few words that stands in many documents counts as none.
+
+    Null and empty texts hold nothing and stay. Rows equal in id and text stay or go together, null ids too. All columns
+    pass. An empty table, or an empty benchmark, changes nothing.
+    """
+    found = leaks(docs, table(spark, sf_dir, "benchmark")).where("kind <> 'short'").select(*ROW).distinct()
     return with_row(docs, docs.columns).join(found, list(ROW), "left_anti").select("__in.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of all documents, with their tokens."""
+    """Token sequences of all documents, with their tokens; a null or empty text has the end token alone."""
     return pack(docs, TOKENIZER, longest=2048, end_id=1)
 
 
