@@ -52,18 +52,25 @@ class _Words(dict):
     NUMBER, TITLE, ENDS, UNIT = 1, 2, 4, 8
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 400_000:
             self.clear()
         bare = word.strip(_EDGE)
         if not bare and word != b"%":
             self[word] = 0
             return 0
-        text = bare.decode("utf-8", "replace")
-        flags = self.NUMBER * (bare[:1].isdigit() and not bare.strip(b"0123456789.,:/-"))
-        flags |= self.TITLE * (text[:1].isupper() and text[1:].islower())
-        flags |= self.ENDS * word.rstrip(b"\"')]}%&#*$").endswith((b".", b"!", b"?", b":"))
-        flags |= self.UNIT * ((bare or word).lower() in UNITS)
-        self[word] = value = xxhash.xxh3_64_intdigest(text.lower() or "%") & ~15 | flags
+        if bare.isascii():
+            folded, title = bare.lower(), bare[:1].isupper() and bare[1:].islower()
+        else:
+            text = bare.decode("utf-8", "replace")
+            folded, title = text.lower().encode(), text[:1].isupper() and text[1:].islower()
+        flags = self.TITLE if title else 0
+        if bare[:1].isdigit() and not bare.strip(b"0123456789.,:/-"):
+            flags |= self.NUMBER
+        if not word.endswith(bare) or not bare:
+            flags |= self.ENDS * word.rstrip(b"\"')]}%&#*$").endswith((b".", b"!", b"?", b":"))
+        if (folded or word) in UNITS:
+            flags |= self.UNIT
+        self[word] = value = xxhash.xxh3_64_intdigest(folded or b"%") & ~15 | flags
         return value or 16
 
 
