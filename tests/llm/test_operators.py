@@ -53,7 +53,7 @@ OPERATORS = {
     "leaks": lambda d: decontaminate.leaks(d, d.select(F.col("doc_id").alias("item_id"), "text")),
     "quality_rules": quality_rules.quality_rules,
     "personal_data": lambda d: pii.personal_data(d, sample=20, cases=300),
-    "balanced_shards": lambda d: sharding.balanced_shards(d, shards=4, rounds=2),
+    "balanced_shards": lambda d: sharding.balanced_shards(d, shards=4),
 }
 PER_ROW = {"line_dedup", "license_scan", "substring_dedup", "weak_quality", "quality_rules", "personal_data", "balanced_shards"}
 
@@ -561,6 +561,21 @@ def test_balanced_shards(docs, n, shards):
         assert sum(len(g) == 1 for g in groups.values()) >= 0.8 * len(groups)
 
 
+def test_a_large_group_fills_few_shards(docs):
+    """A third of the rows are one text: it ends in two shards more than would hold it, at most; groups of 200 stay nearly whole."""
+    r = random.Random(3)
+    texts = ["hot copy"] * 2000 + [f"group {i // 200}" for i in range(1600)] + [f"alone {i} {r.random()}" for i in range(2400)]
+    rows = sharding.balanced_shards(docs(texts), shards=40).collect()
+    where = defaultdict(Counter)
+    for x in rows:
+        where[texts[x.doc_id - 1]][x.shard] += 1
+    least = -(-2000 // 150)
+    assert len(where["hot copy"]) <= least + 2
+    groups = [c for t, c in where.items() if t.startswith("group")]
+    assert sum(max(c.values()) for c in groups) >= 0.4 * 1600
+    assert max(Counter(x.shard for x in rows).values()) == 150
+
+
 def test_query_digest_is_of_the_kept_text(spark):
     from gridmart.llm.queries import QUERIES
 
