@@ -18,7 +18,9 @@ WINDOW = 8
 #: Rules for lines. The SQL of the query uses the same texts.
 NOT_ORNAMENT = r"[^#*$%&|<>!@^~=+]+"
 NOT_SEPARATOR = r"[^|»›•·]+"
-SENTENCE_END = r"[.!?:;…。！？][\"')\]”’»]*([\x20\x09-\x0D]|\z)"
+SENTENCE_END = r"[.!?:;…。！？｡．।॥؟۔։።፧፨។៕။܀᙮᠃᠉‽⁇⁈⁉][\"')\]”’»]*([\x20\x09-\x0D]|\z)"
+GOES_ON = r"^[\x20\x09-\x0D]*[\p{Ll}\p{Lo}]"
+WRAPPED_CHARS = 30  # shorter lines are not parts of wrapped prose
 BOILERPLATE = (
     r"(?i)all rights reserved|privacy policy|terms of (use|service)|accept (all )?cookies|cookie (policy|settings)"
     r"|enable javascript|lorem ipsum|click here|sign up for|skip to (main )?content|powered by"
@@ -37,16 +39,30 @@ def _left(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, ""))
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line breaks a rule; a blank line breaks none."""
+def _goes_on(line: Column, before: Column, after: Column) -> Column:
+    """Whether a line is wrapped prose: no sentence need end in it, as the next line carries on.
+
+    That one starts with a letter that is not a capital, or lines here are of like length.
+    """
     size = F.length(line)
-    unpunctuated = ~line.rlike(SENTENCE_END)
+    alike = lambda other: (4 * F.length(other) >= 3 * size) & (3 * F.length(other) <= 4 * size)
+    return (size >= WRAPPED_CHARS) & after.rlike(r"[^\x20\x09-\x0D]") & (after.rlike(GOES_ON) | alike(after) | alike(before))
+
+
+def line_fails(line: Column, before: Column, after: Column) -> Column:
+    """Whether a line, between its neighbours, breaks a rule; a blank line breaks none."""
+    size = F.length(line)
+    unpunctuated = ~line.rlike(SENTENCE_END) & ~_goes_on(line, before, after)
     ornate = (size >= ORNAMENT_CHARS) & (_left(line, NOT_ORNAMENT) > F.lit(MAX_ORNAMENTS) * size)
     navigation = _left(line, NOT_SEPARATOR) > F.lit(MAX_SEPARATORS) * size
     boilerplate = (size <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE)
     return line.rlike(r"[^\x20\x09-\x0D]") & (unpunctuated | ornate | navigation | boilerplate)
 
 
+def _line(index: Column) -> Column:
+    return F.coalesce(F.get("__lines", index), F.lit(""))
+
+
 def with_repeat_words(read: DataFrame) -> DataFrame:
     """``read`` with ``__repeated``: words inside windows of ``WINDOW`` words that the text holds twice or more.
 
@@ -75,7 +91,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     Columns added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines_removed,
     lost_share (of the characters that are not blank) and clean_text (lines that pass, joined by line feeds).
 
-    A null text has no words, so it fails; its clean_text is empty. Rows are judged one by one: repeated rows, null or
+    A line without the end of a sentence fails, unless it is prose wrapped to some width: the mark may then stand in a later
+    line of its paragraph. A null or empty text has no words, so it fails; its clean_text is empty. Texts may have any length. Rows are judged one by one: repeated rows, null or
     shared ids and ties change nothing. Input columns named like a result are replaced; an empty table gives an
     empty one.
     """
@@ -90,7 +107,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         F.size("__words").alias("__n"),
         F.transform("__words", lambda w: F.xxhash64(w)).alias("__hashes"),
         F.filter("__lines", lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("__worded"),
-        F.filter("__lines", lambda line: ~line_fails(line)).alias("__passed"),
+        F.filter("__lines", lambda line, i: ~line_fails(line, _line(i - 1), _line(i + 1))).alias("__passed"),
     )
     measures = F.struct(
         F.col("__n").cast("long").alias("n_words"),

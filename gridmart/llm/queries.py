@@ -54,9 +54,18 @@ def _sized(sql: str, pattern: str) -> str:
     return f"length(regexp_replace({sql}, '{pattern}', '', 'g'))"
 
 
-_QUOTED = {k: getattr(quality, k).replace("'", "''") for k in ("WORD", "NOT_SYMBOL", "NOT_ORNAMENT", "NOT_SEPARATOR", "SENTENCE_END", "BOILERPLATE")}
+_QUOTED = {k: getattr(quality, k).replace("'", "''") for k in ("WORD", "NOT_SYMBOL", "NOT_ORNAMENT", "NOT_SEPARATOR", "SENTENCE_END", "GOES_ON", "BOILERPLATE")}
+_BEFORE, _AFTER = (f"coalesce(s[i {by} 1], '')" for by in "-+")
+
+
+def _alike(other: str) -> str:
+    return f"(4 * length({other}) >= 3 * length(l) AND 3 * length({other}) <= 4 * length(l))"
+
+
 _SQL_FAILS = f"""regexp_matches(l, '[^\\x20\\x09-\\x0D]') AND (
-    NOT regexp_matches(l, '{_QUOTED["SENTENCE_END"]}')
+    NOT regexp_matches(l, '{_QUOTED["SENTENCE_END"]}') AND NOT (
+        length(l) >= {quality.WRAPPED_CHARS} AND regexp_matches({_AFTER}, '[^\\x20\\x09-\\x0D]')
+        AND (regexp_matches({_AFTER}, '{_QUOTED["GOES_ON"]}') OR {_alike(_AFTER)} OR {_alike(_BEFORE)}))
     OR (length(l) >= {quality.ORNAMENT_CHARS} AND {_sized("l", _QUOTED["NOT_ORNAMENT"])} > {quality.MAX_ORNAMENTS}::DOUBLE * length(l))
     OR {_sized("l", _QUOTED["NOT_SEPARATOR"])} > {quality.MAX_SEPARATORS}::DOUBLE * length(l)
     OR (length(l) <= {quality.BOILERPLATE_CHARS} AND regexp_matches(l, '{_QUOTED["BOILERPLATE"]}')))"""
@@ -70,7 +79,7 @@ q_windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], chr(10)) AS win
 q_again AS (SELECT doc_id, unnest(places) AS i FROM (SELECT doc_id, list(i) AS places FROM q_windows GROUP BY doc_id, win HAVING count(*) > 1)),
 q_covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM q_again) GROUP BY doc_id),
 q_lines AS (SELECT doc_id, t, w, list_filter(s, lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS worded,
-                   array_to_string(list_filter(s, lambda l: NOT ({_SQL_FAILS})), chr(10)) AS clean FROM q_split),
+                   array_to_string(list_filter(s, lambda l, i: NOT ({_SQL_FAILS})), chr(10)) AS clean FROM q_split),
 q_measured AS (
     SELECT doc_id, clean, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {_sized("t", _QUOTED["NOT_SYMBOL"])} AS n_symbols,
            len(worded) - len(list_distinct(worded)) AS n_dup_lines, coalesce(q_covered.n, 0) AS n_repeat_words

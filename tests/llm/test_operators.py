@@ -4,10 +4,12 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -455,6 +457,36 @@ def test_quality_lines_go_first(docs):
     assert got[1].kept and got[1].clean_text == clean and got[2].kept and got[2].clean_text == clean and got[2].n_lines_removed == 3 and not got[3].kept
 
 
+SCRIPTS = {
+    "latin": ("the quiet river carried old wooden boats past Anna and her brother towards green hills", "."),
+    "cyrillic": ("тихая река несла старые лодки мимо Анны и её брата к зелёным холмам у дальней дороги", "?"),
+    "devanagari": ("शांत नदी पुरानी नावों को हरी पहाड़ियों की ओर ले जाती थी और लोग किनारे पर बैठे थे", "।"),
+    "arabic": ("كان النهر الهادئ يحمل القوارب القديمة نحو التلال الخضراء وكان الناس يجلسون على الضفة", "؟"),
+}
+
+
+@pytest.mark.parametrize("sentence", [15, 25, 40])
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_wrapped_prose_loses_nothing(spark, tmp_path, script, sentence):
+    """At 72 columns most lines hold no end of a sentence; the operator and its SQL agree."""
+    words, mark = SCRIPTS[script]
+    r = random.Random(sentence)
+    text = " ".join(" ".join(r.choice(words.split()) + f"{r.choice(words)}".strip() for _ in range(sentence)).capitalize() + mark for _ in range(12))
+    wrapped = "\n".join(textwrap.wrap(text, 72))
+    junk = "\n".join(["Home page", "Our products and prices", "Contact and imprint", "Products A to Z"] * 6)
+    rows = [(1, wrapped), (2, f"{wrapped}\n\n{wrapped}"), (3, f"{wrapped}\n{junk}"), (4, junk)]
+    data = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(data).collect()}
+    assert got[1].clean_text == wrapped and got[1].n_lines_removed == 0
+    assert got[3].clean_text == wrapped and got[3].n_lines_removed == 24 and not got[4].kept
+    data.coalesce(1).write.parquet(f"{tmp_path}/documents")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    from gridmart.llm.queries import QUALITY_CTES
+
+    assert dict(connection.sql(f"WITH {QUALITY_CTES} SELECT doc_id, clean FROM quality").fetchall()) == {i: r.clean_text for i, r in got.items()}
+
+
 def test_native_plans(spark, plan):
     data = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for df in (quality_rules.quality_rules(data).where("kept"), sharding.balanced_shards(data, shards=2)):
