@@ -105,6 +105,11 @@ def _enter(spark: SparkSession, path: str, seen: dict) -> None:
         own = F.col("ingest_day").between(F.to_date(oldest), F.to_date(newest)) & F.col("ingested_at").between(oldest, newest)
         load = spark.read.schema(STORED_SCHEMA).parquet(path).where(own)
         rows = load.groupBy("source_dataset").agg(F.count("*").alias("n"), F.max("ingested_at").alias("newest"))
+    enter(rows, path)
+
+
+def enter(rows: DataFrame, path: str) -> None:
+    """Add rows to a log's ledger of loads."""
     rows.coalesce(1).write.mode("append").parquet(f"{path}{LEDGER}")
 
 
