@@ -1,7 +1,7 @@
 """Quality classifier from weak labels: overlapping heuristics vote, expectation-maximisation weighs them, a scorer learns.
 
 Votes are counted over all documents by their pattern, and a pattern is one of 2 ** 9, so the estimate uses every document
-while the driver sees at most that many counts. The posterior of a pattern labels a bounded sample of documents, on
+while the driver sees at most that many counts. The posterior of a pattern labels a bounded sample of different texts, on
 which a linear scorer over hashed features is trained; the scorer then judges every document, whole.
 """
 
@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import arrow_batch, carried, per_batch, texts
+from gridmart.llm.common import arrow_batch, carried, per_batch, staged, texts
 
 #: From where on, upwards or downwards, each heuristic finds its fault in a text; the second value is that of an ordinary text.
 LABELLERS = {
@@ -151,38 +152,56 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps:
 RESULTS = ("n_words", "weak_label", "score", "kept")
 
 
-def weak_quality(docs: DataFrame, sample: int = 4000, threshold: float = 0.5) -> DataFrame:
+def _chosen(features: DataFrame, sample: int, slots: int) -> DataFrame:
+    """Of the distinct texts' features, those of the smallest hashes, up to both bounds."""
+    sizes = features.select("h", (F.length("slots") / 4).cast("long").alias("n")).orderBy("h").limit(sample).collect()
+    taken = np.cumsum([r.n for r in sizes]) <= slots
+    return features.where(F.col("h") <= F.lit(sizes[int(taken.sum()) - 1].h)) if taken.any() else features.limit(0)
+
+
+def weak_quality(docs: DataFrame, sample: int = 4000, threshold: float = 0.5, slots: int = 4_000_000) -> DataFrame:
     """``docs`` with n_words, weak_label (the posterior of its votes), score (the linear scorer's) and kept (score from ``threshold``).
 
-    ``sample`` bounds the documents the scorer is trained on, chosen by a hash of their texts; vote counts cover all.
+    ``sample`` and ``slots`` bound the texts the scorer is trained on, and their features: different texts in the order of
+    their hashes, each once however often it is repeated. So a text that fills the table is one of them, and the same table
+    gives the same scorer in whatever order it is read. Vote counts cover all documents.
 
     A null text is empty: only the word count finds a fault. Equal texts get equal scores; repeated rows, null and
-    shared ids are judged row by row. Without a document of either class in the sample, everything is of the other. Input
-    columns named like a result are replaced. An empty table gives an empty one.
+    shared ids are judged row by row. A text of any length is read whole; its features are 65,536 slots at most. Without a
+    document of either class in the sample, everything is of the other. Input columns named like a result are replaced. An
+    empty table gives an empty one.
     """
     passed = carried(docs, *RESULTS)
 
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return arrow_batch(pattern=pattern(votes(np.array([statistics(t) for t in texts(batch)]))))
-
-    cast = docs.select("text").mapInArrow(per_batch(vote), "pattern long")
-    counts = {r.pattern: r.n for r in cast.groupBy("pattern").agg(F.count("*").alias("n")).collect()}
-    posterior, _ = estimate(counts)
-
-    chosen = F.pmod(F.xxhash64("text", F.lit(6)), F.lit(1 << 30)) < F.lit(min(1.0, sample / max(1, sum(counts.values()))) * (1 << 30))
+        read = texts(batch)
+        hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in read], np.uint64).view(np.int64)
+        return arrow_batch(pattern=pattern(votes(np.array([statistics(t) for t in read]))), h=hashes)
+
+    cast = docs.select("text").mapInArrow(per_batch(vote), "pattern long, h long")
+    # A text has one pattern, so different texts can be counted by pattern.
+    counted = cast.groupBy("pattern").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("texts")).orderBy("pattern").collect()
+    posterior, _ = estimate({r.pattern: r.n for r in counted})
+
+    # Half as many again, so that the count being an estimate does not leave the sample short.
+    share = min(1.0, 1.5 * (sample + 10) / max(1, sum(r.texts for r in counted)))
+    h = F.xxhash64(F.coalesce("text", F.lit("")), F.lit(6))
+    hashed_texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), h.alias("h")).where(F.pmod("h", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    # Map tasks send each text once.
+    different = hashed_texts.groupBy("h").agg(F.min("text").alias("text"))
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        slots, weights, label = [], [], []
+        at_all, weights, label = [], [], []
         for text in texts(batch):
             values = statistics(text)
             at, w = hashed(text, values)
-            slots.append(at.astype(np.int32).tobytes())
+            at_all.append(at.astype(np.int32).tobytes())
             weights.append(w.astype(np.float32).tobytes())
             label.append(posterior[int(pattern(votes(np.array([values])))[0])])
-        return arrow_batch(slots=pa.array(slots, pa.binary()), weights=pa.array(weights, pa.binary()), label=pa.array(label, pa.float64()))
+        return arrow_batch(h=batch.column("h"), slots=pa.array(at_all, pa.binary()), weights=pa.array(weights, pa.binary()), label=pa.array(label, pa.float64()))
 
-    picked = docs.select("text").where(chosen).mapInArrow(per_batch(features), "slots binary, weights binary, label double")
-    rows = picked.limit(2 * sample).collect()
+    made = staged(different.mapInArrow(per_batch(features), "h long, slots binary, weights binary, label double"), "features")
+    rows = sorted(_chosen(made, sample, slots).collect(), key=lambda r: r.h)
     scorer = train([(np.frombuffer(r.slots, np.int32), np.frombuffer(r.weights, np.float32)) for r in rows], np.array([r.label for r in rows]))
 
     read = docs.select(*passed)
