@@ -13,10 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import ROW, arrow_batch, carried, per_batch, row_key, rows, staged, with_row
+from gridmart.llm.common import ROW, arrow_batch, boxed, carried, per_batch, row_key, rows, staged
 from gridmart.llm.shingles import mixed, words_of
 
 _BREAK = re.compile(r"\n\s*|[.!?…]+[\"')\]”’»]*\s+")
@@ -105,6 +105,18 @@ def runs(text: str, min_sentences: int, min_words: int) -> tuple[np.ndarray, ...
     return hashes[0], hashes[1], starts[worded[first]], ends[worded[last - 1]]
 
 
+def _keys() -> list[Column]:
+    """``row_key``, the last bit of whose hash tells whether the id is null, which counts as 0 otherwise."""
+    row_id, row_hash = row_key()
+    none = F.col("doc_id").isNull().cast("long")
+    return [row_id, row_hash.bitwiseAND(F.lit(-2)).bitwiseOR(none).alias(ROW[1])]
+
+
+def known_id(row_id: Column, row_hash: Column) -> Column:
+    """The id of a row's key: null where the document's is null."""
+    return F.when(row_hash.bitwiseAND(F.lit(1)) == 0, row_id)
+
+
 def span_table(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,15 +130,16 @@ def span_table(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame
                 h1=h1, h2=h2, __row_id=row_id, __row_hash=row_hash, start=start.astype(np.int32), end=end.astype(np.int32)
             )
 
-    return docs.select(*row_key(), "text").mapInArrow(scan, _SPANS)
+    return docs.select(*_keys(), "text").mapInArrow(scan, _SPANS)
 
 
 def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 24) -> DataFrame:
     """Row key, start, end (code points) and first_doc_id of each passage to cut: maximal, in no overlap.
 
     A run that stands elsewhere before, in doc_id, text hash and offset, is a later copy; sentences that any later copy
-    covers go. A passage's first_doc_id is the smallest id among the first places of its runs. Repeated rows are one document;
-    a null id counts as 0.
+    covers go. A passage's first_doc_id is the smallest id among the first places of its runs, null if none has one.
+    Repeated rows are one document; a null id stands in order where 0 does, and is told apart from it (``known_id``).
+    Ties between places are settled by id, text hash and offset. A text of any length is read whole, by one task.
     """
     spans = staged(span_table(docs, min_sentences, min_words), "sentence_runs")
     # Keys are written, so that each join below shuffles both sides, and a hot key's rows can be split.
@@ -135,7 +148,7 @@ def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 24)
     place = F.struct(*ROW, "start")
     first = shared.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
     later = shared.join(staged(first, "first_places"), ["h1", "h2"]).where(place != F.col("first"))
-    covered = later.groupBy(*ROW).agg(F.sort_array(F.collect_set(F.struct("start", "end", F.col(f"first.{ROW[0]}").alias("id")))).alias("at"))
+    covered = later.groupBy(*ROW).agg(F.sort_array(F.collect_set(F.struct("start", "end", known_id(*(F.col(f"first.{c}") for c in ROW)).alias("id")))).alias("at"))
     return covered.mapInArrow(per_batch(_merged), "__row_id long, __row_hash long, start int, end int, first_doc_id long")
 
 
@@ -147,7 +160,7 @@ def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
         for s in ordered:
             if len(out) > begun and s["start"] <= out[-1][1]:
                 start, end, first = out[-1]
-                out[-1] = (start, max(end, s["end"]), min(first, s["id"]))
+                out[-1] = (start, max(end, s["end"]), min((x for x in (first, s["id"]) if x is not None), default=None))
             else:
                 out.append((s["start"], s["end"], s["id"]))
                 at.append(i)
@@ -168,7 +181,7 @@ def substring_dedup(docs: DataFrame, min_sentences: int = 2, min_words: int = 24
     passed = carried(docs, "removed")
     spans = repeated_spans(docs, min_sentences, min_words)
     per_row = spans.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end", "first_doc_id"))).alias("removed"))
-    out = with_row(docs, passed).join(per_row, list(ROW), "left").select("__in.*", "removed")
+    out = docs.select(boxed(passed), *_keys()).join(per_row, list(ROW), "left").select("__in.*", "removed")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept = []
