@@ -13,7 +13,8 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridmart.llm.common import arrow_batch, carried, per_batch, texts
 from gridmart.llm.shingles import words_of
@@ -29,7 +30,10 @@ TEMPLATES = {
     " (the <<var;match=1..3>>), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,"
     " publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,"
     " subject to the following conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>>"
-    " shall be included in all copies or substantial portions of the Software.",
+    " shall be included in all copies or substantial portions of the Software. The software is provided \"as is\", without warranty of any kind, express"
+    " or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall"
+    " <<var;match=1..12>> be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or"
+    " in connection with the software or the use or other dealings in the software.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0 <<beginOptional>>(the \"License\"); you may not use <<var;match=1..4>> except in"
     " compliance with the License<<endOptional>>",
     "gpl-3.0-notice": "<<beginOptional>>This <<var;match=1..3>> is<<endOptional>> licensed under the GNU General Public License, version 3"
@@ -39,9 +43,18 @@ TEMPLATES = {
     "bsd-2-clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
     " conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above copyright notice, this list of conditions"
     " and the following disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, this list"
-    " of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    " of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    " This software is provided by <<var;match=1..12>> \"as is\" and any express or implied warranties, including, but not limited to, the implied"
+    " warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall <<var;match=1..12>> be liable for any direct,"
+    " indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss"
+    " of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort"
+    " (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage.",
     "isc-text": "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee is hereby"
-    " granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    " granted, provided that the above copyright notice and this permission notice appear in all copies. The software is provided \"as is\" and"
+    " <<var;match=1..8>> disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness. In no event"
+    " shall <<var;match=1..8>> be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use,"
+    " data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance"
+    " of this software.",
     "cc-by-nc-4.0-notice": "<<beginOptional>>This <<var;match=1..3>> is<<endOptional>> licensed under <<beginOptional>>a<<endOptional>>"
     " <<beginOptional>>Creative Commons Attribution NonCommercial<<endOptional>> CC BY-NC 4.0",
     "all-rights-reserved": "<<beginOptional>>Copyright <<beginOptional>>(c)<<endOptional>> <<var;match=1..12>><<endOptional>> All rights reserved",
@@ -192,6 +205,12 @@ class Scanner:
         return len(words), base, own
 
 
+def read_templates(spark: SparkSession, path: str) -> dict[str, str]:
+    """Templates of a folder of markup files, one each, named by their file's name without its ending."""
+    label = F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")
+    return {r.label: r.value for r in spark.read.text(path, wholetext=True).select(label.alias("label"), "value").collect()}
+
+
 RESULTS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "matches", "score")
 
 
@@ -202,7 +221,8 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
     null), base_labels, labels (phrases' and templates', distinct, sorted, joined by commas), matches (structs of start,
     end and label, of phrases and templates, in order) and score (share of the words inside a match; 0 without words).
 
-    Words are runs of letters and digits, A-Z lower-cased. A null text is empty and matches nothing. Rows are scanned one by
+    ``templates`` may come from ``read_templates``. A template's mandatory words all have to stand: a text that leaves out a
+    closing disclaimer is not that license. Texts are read whole, however long. Words are runs of letters and digits, A-Z lower-cased. A null text is empty and matches nothing. Rows are scanned one by
     one, so repeated rows and null ids change nothing. Input columns named like a result are replaced. An empty table
     gives an empty one.
     """
