@@ -17,7 +17,7 @@ from gridmart.llm.licenses import license_scan
 from gridmart.llm.line_dedup import line_dedup
 from gridmart.llm.packing import pack
 from gridmart.llm.pii import personal_data
-from gridmart.llm.sentence_dedup import repeated_spans
+from gridmart.llm.sentence_dedup import known_id, repeated_spans
 from gridmart.llm.sharding import balanced_shards
 from gridmart.llm.simhash import simhash_components
 from gridmart.llm.vector_codes import SCALE, encode
@@ -128,14 +128,14 @@ def op2_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_sentence_spans")
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeated_spans(docs).select(F.col(ROW[0]).alias("doc_id"), "start", "end", "first_doc_id")
+    return repeated_spans(docs).select(known_id(*(F.col(c) for c in ROW)).alias("doc_id"), "start", "end", "first_doc_id")
 
 
 @query("op9_pii_boosting")
 def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256")
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans", (F.col("spans") != "").alias("found"))
 
 
 @query("op5_weak_label_quality")

@@ -176,6 +176,31 @@ def test_automaton_agrees_with_enumeration():
             assert automaton.match([w.encode() for w in text], 0) == max(ends, default=-1), (text, pattern)
 
 
+def _said(template):
+    """A text that a template accepts: optional regions left in, three words in place of each replaceable one."""
+    import re
+
+    return re.sub(r"<<(begin|end)Optional>>", " ", re.sub(r"<<var;match=\d+\.\.\d+>>", "some three words", template))
+
+
+@pytest.mark.parametrize("label", ["mit-text", "bsd-2-clause-text", "isc-text"])
+def test_whole_license_texts(docs, label):
+    """All of the mandatory wording has to stand: without its disclaimer, or with a word of it changed, a text is not accepted."""
+    whole = _said(licenses.TEMPLATES[label])
+    cut = whole[: whole.lower().rindex("provided")]
+    texts = [whole, f"before {whole.upper()} after", cut, whole.replace("in no event", "in any event").replace("In no event", "In any event")]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.license_scan(docs(texts)).collect()}
+    assert [label in got[i] for i in (1, 2, 3, 4)] == [True, True, False, False]
+
+
+def test_templates_from_files(spark, docs, tmp_path):
+    (tmp_path / "house-1.0.txt").write_text("may be used <<beginOptional>>freely<<endOptional>> by\n<<var;match=1..2>> alone")
+    templates = licenses.read_templates(spark, str(tmp_path))
+    texts = ["It may be used by our friends alone.", "may be used by many more people alone"]
+    got = {r.doc_id: r.labels for r in licenses.license_scan(docs(texts), templates=templates).collect()}
+    assert list(templates) == ["house-1.0"] and got == {1: "house-1.0", 2: ""}
+
+
 def plain_spans(texts, least_sentences, least_words):
     runs = defaultdict(list)
     for i, text in sorted(texts.items()):
@@ -226,6 +251,18 @@ def all_spans(texts, least_sentences, least_words):
     return gone
 
 
+def test_a_null_id_stays_null(spark):
+    """Documents without an id and with id 0 are told apart, as later copies and as first places."""
+    passage = prose("p", 60)
+    rows = [(None, f"{prose(1, 30)} {passage}"), (0, f"{prose(2, 30)} {passage}"), (5, f"{prose(3, 30)} {passage}")]
+    spans = sentence_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    key = [F.col(c) for c in ("__row_id", "__row_hash")]
+    got = {(r.id, r.first_doc_id) for r in spans.select(sentence_dedup.known_id(*key).alias("id"), "first_doc_id").collect()}
+    assert got in ({(0, None), (5, None)}, {(None, 0), (5, 0)})
+    alone = sentence_dedup.repeated_spans(spark.createDataFrame([(None, rows[0][1]), (None, rows[1][1])], "doc_id long, text string"))
+    assert {(r.id, r.first_doc_id) for r in alone.select(sentence_dedup.known_id(*key).alias("id"), "first_doc_id").collect()} == {(None, None)}
+
+
 def test_every_sentence_of_a_repeated_span_is_cut(docs):
     r = random.Random(6)
     sentence = lambda n: " ".join(r.choice(PROSE) + str(r.randrange(999)) for _ in range(n)).capitalize() + "."
@@ -539,6 +576,29 @@ def test_pii_spelled_out_address_and_long_secret(docs):
     assert not any(rows[i].spans for i in range(3, 23))
 
 
+def test_pii_recall_and_false_spans():
+    """Of planted spans of each kind, and of look-alikes, in carriers the model was not fitted in."""
+    model = pii.fit_redactor([" ".join(random.Random(i).choices(PROSE, k=60)) for i in range(20)], cases=6000)
+    rng, r = np.random.default_rng(99), random.Random(99)
+    texts, planted = [], []
+    for _ in range(3000):
+        before = " ".join(r.choices(PROSE, k=10))
+        inserted, _, kind, begin, end = pii._made_up(rng)
+        texts.append(f"{before} {inserted} {' '.join(r.choices(PROSE, k=10))}")
+        planted.append(kind and (kind, len(before) + 1 + begin, len(before) + 1 + end))
+    found = model.spans(texts)
+    covered = defaultdict(list)
+    for want, spans in zip(planted, found):
+        if want:
+            covered[want[0]].append(any(a <= want[1] and b >= want[2] for _, a, b in spans))
+    recall = {kind: np.mean(x) for kind, x in covered.items()}
+    assert set(recall) == set(pii.KINDS) and min(recall.values()) >= 0.9, recall
+    number = lambda: r.choice(["1998", "12,500", "3.5", "2/3", "No. 7", "2024-03-01", "17:45", "1,250,000"])
+    plain = model.spans([" ".join(f"{' '.join(r.choices(PROSE, k=6))} {number()}" for _ in range(40)) for _ in range(500)])
+    assert sum(map(bool, plain)) <= 0.02 * len(plain)
+    assert np.mean([bool(spans) for want, spans in zip(planted, found) if not want]) <= 0.1
+
+
 def test_boosted_trees_learn():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 5))
@@ -561,6 +621,25 @@ def test_weak_quality(docs):
     assert right >= 0.97 * len(rows) and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_weak_quality_is_repeatable_and_a_text_counts_once(spark, docs):
+    """Rows in another order, in other partitions and with one text repeated until it fills two thirds of the table."""
+    texts = [prose(i, 80) for i in range(120)] + [" ".join(w + "%%#" for w in prose(i, 60).split()) for i in range(30)]
+    scores = []
+    for data in (docs(texts), docs(texts).orderBy(F.rand(3)).repartition(11), docs(texts).orderBy(F.desc("doc_id")).coalesce(1)):
+        scores.append({r.doc_id: (r.score, r.weak_label, r.kept) for r in weak_quality.weak_quality(data, sample=60).collect()})
+    assert scores[0] == scores[1] == scores[2]
+    flooded = docs(texts + [texts[0]] * 300)
+    kept = {r.doc_id: r.kept for r in weak_quality.weak_quality(flooded, sample=60).collect()}
+    assert sum(kept[i] == (i <= 120) for i in range(1, 151)) >= 145
+
+
+def test_features_are_bounded(spark):
+    made = spark.createDataFrame([(h, bytes(4 * 100), b"", 1.0) for h in range(-20, 20)], "h long, slots binary, weights binary, label double")
+    assert sorted(r.h for r in weak_quality._chosen(made, 10, 10**6).collect()) == list(range(-20, -10))
+    assert sorted(r.h for r in weak_quality._chosen(made, 30, 650).collect()) == list(range(-20, -14))
+    assert weak_quality._chosen(made, 30, 5).count() == 0
+
+
 def test_estimate_finds_the_faulty_heuristics():
     """Documents drawn from the model: the estimate finds how often each heuristic fires on bad ones."""
     rng = np.random.default_rng(4)
