@@ -215,3 +215,13 @@ def test_a_key_one_column_short_stops_the_build(spark, log):
     assert layers.table("silver", feeds.ANNUAL).count() == 4
     lost = spark.read.parquet(f"{path}/build=2").where(f"table_name = '{feeds.ANNUAL}'").first()
     assert (lost.rows_lost, lost.newest_in, lost.newest_out, lost.balanced) == (7, 4, 1, False) and lost.total_in - lost.total_out > 30
+
+
+def test_a_written_table_is_listed_once(spark):
+    builds = Builds(some_layers(spark, "listed"))
+    part = builds.write(spark.range(6), "gold", "t", "build=1", by=("part", (F.col("id") % 3).cast("string")))
+    whole = builds.read(part)
+    shutil.rmtree(f"{builds.layers.path('gold', 't')}/build=__none__")  # a second listing would look for it
+    again, some = builds.read(part, list(reversed(part.places))), sorted(whole.where("part = '1'").collect())
+    assert again.columns == ["id", "part"] and sorted(again.collect()) == sorted(whole.collect())
+    assert some == [(1, "1"), (4, "1")]
