@@ -274,3 +274,16 @@ def test_a_late_reading_leaves_the_windows_but_not_the_log(spark):
     got = {tuple(r) for r in spark.read.parquet(out).select(F.date_format("slot_start", "HH:mm"), "mw").collect()}
     assert got == {("10:00", 4), ("10:15", 4), ("13:00", 4), ("13:15", 4)}
     assert spark.read.parquet(landing).count() == 6
+
+
+def test_the_store_is_not_listed_before_a_compaction_can_be_due(spark, log, monkeypatch):
+    landing, store, checkpoint = (scratch_path(spark, name) for name in ("landing", "store", "checkpoint"))
+    records = log(*[(CD, slot(f"2024-01-05T{h:02d}:00:00", h + 1), load_time(1)) for h in range(3)])
+    records.repartition(3).sortWithinPartitions("ingested_at").write.parquet(landing)
+    n_files = len(spark.read.parquet(landing).inputFiles())
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    listed, compact = [], slots_module.compact_slots
+    monkeypatch.setattr(slots_module, "compact_slots", lambda *arguments: listed.append(1) or compact(*arguments))
+    start_slot_stream(stream, store, checkpoint, UNTIL_CAUGHT_UP, compact_after=2).awaitTermination()
+    assert n_files > 1 and len(listed) == n_files - 1
+    assert read_slots(spark, store).count() == 3
