@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 import pytest
 from oracle import compare, connect
 
-from gridmart.catalogue import load_catalogue
+from gridmart.catalogue import derived, load_catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -69,3 +69,9 @@ def test_months_of_both_kinds_occur(spark):
 def test_day_scan_is_pushed_down(spark, plan):
     text = plan(contract.queries()["q02_day_scan"](spark, SF_DIR))
     assert "GreaterThanOrEqual(ts," in text and "LessThan(ts," in text and "EqualTo(event_type,click)" in text
+
+
+def test_records_come_in_as_many_parts_as_asked_for(spark):
+    log = derived.power_log(spark, SF_DIR, parts=3)
+    assert log.rdd.getNumPartitions() == 6  # three of lines, three of orders: no shuffle of the records
+    assert sorted(log.collect()) == sorted(derived.power_log(spark, SF_DIR).collect())
