@@ -97,3 +97,15 @@ def test_freshness_of_the_power_log(layers):
         for minutes in (60, 180, 25 * 60)
     }
     assert statuses == {60: "pass", 180: "warn", 25 * 60: "error"}
+
+
+def test_balances_are_gathered_by_folder(spark, layers, monkeypatch):
+    gathered, write = {}, Layers.write
+
+    def noted(self, df, layer, table, build, by=None, gather=None, **options):
+        gathered[table] = gather
+        return write(self, df, layer, table, build, by, gather, **options)
+
+    monkeypatch.setattr(Layers, "write", noted)
+    rebuild(layers, "build=1", stage=stager(spark, "means"))
+    assert gathered[feeds.BALANCE] == "date_heure" and gathered[feeds.SLOTS] == "horodatage_utc"
