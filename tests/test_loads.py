@@ -8,6 +8,7 @@ from test_models import opinion, place, slot
 from test_sources import TWO_SETS, sdmx
 
 from gridmart import feeds
+from gridmart.operators.parse import json_texts, may_hold
 from gridmart.plans import loads
 from gridmart.session import scratch_path
 from gridmart.sources.tables import Layers
@@ -82,3 +83,9 @@ def test_survey(spark, layers):
     log = logged(layers, feeds.RAW_SURVEY)
     assert {r[1] for r in log} == {"2024-02/2024-03"}
     assert set(json.loads(log[0][2])) == set(feeds.SURVEY_FIELDS)
+
+
+def test_a_day_written_with_escapes_is_found(spark):
+    rows = [('{"date": "2026-10-05"}',), ('{"date": "2026\\u002d10-05"}',), ('{"date": "2026-10-06"}',), (None,)]
+    kept = spark.createDataFrame(rows, "payload string").where(may_hold("2026-10-05"))
+    assert [r.json_date for r in json_texts(kept, ["date"]).collect()] == ["2026-10-05", "2026-10-05"]
