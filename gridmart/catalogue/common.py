@@ -42,9 +42,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a part: most, as a task may sort all that it builds from them; and so many before there is another part.
+MOST_ROWS = 2**20
+LEAST_ROWS = 20_000
+
+
+def parts_of(rows: int, cores: int) -> int:
+    """Parts for so many rows: one for each core if they are worth it, and more once the parts would get large."""
+    return max(-(-rows // MOST_ROWS), min(cores, -(-rows // LEAST_ROWS)), 1)
+
+
 def spread(df: DataFrame, parts: int | None = None) -> DataFrame:
-    """A table in parts that AQE sizes, or so many, before costly work on each row: a single small file is one task otherwise."""
-    return df.repartition(parts) if parts else df.hint("rebalance")
+    """A table in parts of a bounded number of rows, or so many, before costly work on each row: a single file is one task otherwise.
+
+    Rows are counted (Parquet has the count in its footers), as parts of equal bytes differ in rows as much as in how well
+    they are compressed. They are dealt by a hash of the whole row, which needs no sort and is no key's, so a key with many
+    rows, or none, makes no large part.
+    """
+    if parts:
+        return df.repartition(parts)
+    return df.repartition(parts_of(df.count(), df.sparkSession.sparkContext.defaultParallelism), *[f"`{c}`" for c in df.columns])
 
 
 def money(column: str) -> Column:

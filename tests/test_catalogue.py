@@ -7,8 +7,9 @@ from pathlib import Path
 import __spark_entry__ as contract
 import pytest
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
-from gridmart.catalogue import derived, load_catalogue
+from gridmart.catalogue import common, derived, load_catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -75,3 +76,21 @@ def test_records_come_in_as_many_parts_as_asked_for(spark):
     log = derived.power_log(spark, SF_DIR, parts=3)
     assert log.rdd.getNumPartitions() == 6  # three of lines, three of orders: no shuffle of the records
     assert sorted(log.collect()) == sorted(derived.power_log(spark, SF_DIR).collect())
+
+
+def test_parts_are_bounded_in_rows_however_well_they_compress(spark, tmp_path, monkeypatch):
+    """Rows that compress to next to nothing, with one key or none: the parts are equal, and no row is lost."""
+    key = F.when(F.col("id") % 3 > 0, F.lit(7)).alias("key")
+    spark.range(40_000, numPartitions=1).select(key, F.col("id").alias("number")).write.parquet(f"{tmp_path}/t.parquet")
+    rows = common.table(spark, tmp_path, "t")
+    monkeypatch.setattr(common, "MOST_ROWS", 2_000)
+    dealt = common.spread(rows)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 2 * 2_000
+    assert dealt.exceptAll(rows).isEmpty() and rows.exceptAll(dealt).isEmpty()
+
+
+def test_parts_follow_rows_and_cores():
+    """Nothing and little are one part, work is given to every core, and then parts grow no further."""
+    assert [common.parts_of(rows, 12) for rows in (0, 1, 20_001, 600_000, 3_600_000)] == [1, 1, 2, 12, 12]
+    assert common.parts_of(36_000_000, 12) == 35 and common.parts_of(216_000_000, 12) == 206
