@@ -116,9 +116,12 @@ def slot_versions(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
 
 
 def best_slots(versions: DataFrame) -> DataFrame:
-    """Best consolidated, then newest version of each slot."""
+    """Best consolidated, then newest version of each slot.
+
+    The instant leads the sort: it tells most versions apart at once, the region next to none.
+    """
     rank = version_rank(F.col("nature_donnees"), (feeds.NATURE_FINAL, feeds.NATURE_CONSOLIDATED))
-    return best_version(versions, SLOT_KEY, [rank, F.desc("ingested_at"), F.desc(VERSION)])
+    return best_version(versions, SLOT_KEY[::-1], [rank, F.desc("ingested_at"), F.desc(VERSION)])
 
 
 def power_slots(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 """Golden rows of the nine tables."""
 
+import re
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
@@ -235,3 +236,10 @@ def test_top_communes_orders_ties_by_code(spark):
     rows = [("00002", "B", 5.0), ("00001", "A", 2.0), ("00001", "A", 3.0), ("00003", "C", None), ("00004", "D", 9.0)]
     df = spark.createDataFrame(rows, "code_commune string, libelle_commune string, conso_mwh double")
     assert [r.code_commune for r in reports.top_communes(df, 3).collect()] == ["00004", "00001", "00002"]
+
+
+def test_versions_are_sorted_by_what_tells_them_apart_first(log, plan):
+    """Every version has its region in common with many, its instant with few."""
+    text = plan(silver.power_slots(log(("d", {"code_insee_region": "52", "date_heure": "2026-10-05T00:00:00"}, load_time(6)))))
+    sorts = re.findall(r"\(\d+\) Sort\b.*\n(?:Input.*\n)?Arguments: \[(\w+)#", text)
+    assert sorts and set(sorts) == {"horodatage_utc"}
