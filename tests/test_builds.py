@@ -16,7 +16,7 @@ from gridmart.operators.checks import NOT_NULL, QualityError, Rule
 from gridmart.plans import silver
 from gridmart.plans.incremental import update
 from gridmart.plans.refresh import newest_loads, power_freshness, rebuild
-from gridmart.session import scratch_path
+from gridmart.session import LISTING, READ_PART, pin_session, scratch_path
 from gridmart.sources import bronze
 from gridmart.sources.builds import Builds
 from gridmart.sources.tables import Layers, stager
@@ -225,3 +225,48 @@ def test_a_written_table_is_listed_once(spark):
     again, some = builds.read(part, list(reversed(part.places))), sorted(whole.where("part = '1'").collect())
     assert again.columns == ["id", "part"] and sorted(again.collect()) == sorted(whole.collect())
     assert some == [(1, "1"), (4, "1")]
+
+
+def test_an_update_lists_the_store_once(spark, log, monkeypatch):
+    layers, store = some_layers(spark, "once"), scratch_path(spark, "store")
+    load_series(layers, log)
+    merge_slots(log(*[(CD, slot(f"2024-0{m}-05T10:30:00", m, FINAL), load_time(1)) for m in (1, 2, 3)]), store, 0, "month")
+    listed, read = [], type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths, **options: listed.extend(paths) or read(self, *paths, **options))
+    update(layers, store, "build=1", LENIENT)
+    assert listed.count(f"{store}/batches") == 1
+
+
+def test_slots_that_come_month_by_month_are_not_shuffled(spark, log, monkeypatch):
+    """From a store by month with one batch; a second batch scatters the months it comes to."""
+    layers, store, scattered, write = some_layers(spark, "in_order"), scratch_path(spark, "store"), [], Layers.write
+    load_series(layers, log)
+
+    def noted(self, df, layer, table, build, *arguments, **options):
+        if table == feeds.SLOTS:
+            scattered.append(options["scattered"])
+        return write(self, df, layer, table, build, *arguments, **options)
+
+    monkeypatch.setattr(Layers, "write", noted)
+    for number, hour in enumerate((10, 11)):
+        merge_slots(log(*[(CD, slot(f"2024-0{m}-05T{hour}:30:00", m, FINAL), load_time(number)) for m in (1, 2, 3)]), store, number, "month")
+        update(layers, store, f"build={number}", LENIENT)
+    months = layers.table("silver", feeds.SLOTS).groupBy("utc_month").count().collect()
+    assert scattered == [False, True] and sorted(map(tuple, months)) == [("2024-01", 2), ("2024-02", 2), ("2024-03", 2)]
+
+
+def test_sizes_are_set_unless_the_session_says_them(spark):
+    before = {key: spark.conf.get(key) for key in (LISTING, READ_PART)}
+    try:
+        for key in before:
+            spark.conf.unset(key)
+        pin_session(spark)
+        assert int(spark.conf.get(LISTING)) == 4 * max(spark.sparkContext.defaultParallelism, 8)
+        assert int(spark.conf.get(READ_PART).rstrip("b")) == 48 * 1024**2
+        spark.conf.set(LISTING, "77")
+        spark.conf.set(READ_PART, "16m")
+        pin_session(spark)
+        assert (spark.conf.get(LISTING), spark.conf.get(READ_PART)) == ("77", "16m")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -10,6 +10,7 @@ from oracle import compare, connect
 from pyspark.sql import functions as F
 
 from gridmart.catalogue import common, derived, load_catalogue
+from gridmart.sources import bronze
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -94,3 +95,24 @@ def test_parts_follow_rows_and_cores():
     """Nothing and little are one part, work is given to every core, and then parts grow no further."""
     assert [common.parts_of(rows, 12) for rows in (0, 1, 20_001, 600_000, 3_600_000)] == [1, 1, 2, 12, 12]
     assert common.parts_of(36_000_000, 12) == 35 and common.parts_of(216_000_000, 12) == 206
+
+
+def test_a_table_in_enough_parts_is_read_without_a_shuffle(spark, tmp_path, plan):
+    rows = spark.range(400_000).select(F.col("id").alias("number"), F.when(F.col("id") % 3 > 0, 7).alias("key"))
+    rows.repartition(16).write.parquet(f"{tmp_path}/many.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
+    many, one = (common.as_read(common.table(spark, tmp_path, name)) for name in ("many", "one"))
+    assert "Exchange" not in plan(many) and "Exchange" in plan(one)
+    for read in (many, one):
+        assert read.count() == 400_000 and read.agg(F.sum("number"), F.sum("key")).first() == rows.agg(F.sum("number"), F.sum("key")).first()
+
+
+def test_rows_of_a_load_become_the_records_of_its_log(spark):
+    for log, load in (
+        (derived.power_log(spark, SF_DIR, one_region=True), derived.power_load(spark, SF_DIR, one_region=True)),
+        (derived.annual_log(spark, SF_DIR), derived.annual_load(spark, SF_DIR)),
+        (derived.survey_log(spark, SF_DIR, complete=True), derived.survey_load(spark, SF_DIR, complete=True)),
+    ):
+        records = bronze.records(*load)
+        assert records.exceptAll(log).isEmpty() and log.exceptAll(records).isEmpty()
+        assert "payload" not in load[0].columns

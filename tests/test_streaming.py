@@ -287,3 +287,17 @@ def test_the_store_is_not_listed_before_a_compaction_can_be_due(spark, log, monk
     start_slot_stream(stream, store, checkpoint, UNTIL_CAUGHT_UP, compact_after=2).awaitTermination()
     assert n_files > 1 and len(listed) == n_files - 1
     assert read_slots(spark, store).count() == 3
+
+
+def test_versions_compete_only_where_a_period_has_several_parts(spark, log, plan):
+    """A period with one batch, or one compaction, is read as it is; the rows are those of a rebuild at every step."""
+    store = scratch_path(spark, "store")
+    merge_slots(log(*VERSIONS[:4]), store, 0)
+    first = read_slots(spark, store)
+    assert "Window" not in plan(first) and rows(first) == rows(silver.power_slots(log(*VERSIONS[:4])))
+    merge_slots(log(*VERSIONS[4:]), store, 1)
+    assert "Window" in plan(read_slots(spark, store)) and rows(read_slots(spark, store)) == rows(silver.power_slots(log(*VERSIONS)))
+    assert "Window" not in plan(read_slots(spark, store, [date(2024, 1, 2)]))
+    compact_slots(spark, store)
+    assert "Window" not in plan(read_slots(spark, store)) and rows(read_slots(spark, store)) == rows(silver.power_slots(log(*VERSIONS)))
+    assert read_slots(spark, store, [date(2024, 1, 3)]).count() == 0
