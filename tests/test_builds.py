@@ -16,7 +16,7 @@ from gridmart.operators.checks import NOT_NULL, QualityError, Rule
 from gridmart.plans import silver
 from gridmart.plans.incremental import update
 from gridmart.plans.refresh import newest_loads, power_freshness, rebuild
-from gridmart.session import LISTING, READ_PART, pin_session, scratch_path
+from gridmart.session import LISTING, READ_PART, scratch_path, size_session
 from gridmart.sources import bronze
 from gridmart.sources.builds import Builds
 from gridmart.sources.tables import Layers, stager
@@ -260,12 +260,12 @@ def test_sizes_are_set_unless_the_session_says_them(spark):
     try:
         for key in before:
             spark.conf.unset(key)
-        pin_session(spark)
+        size_session(spark)
         assert int(spark.conf.get(LISTING)) == 4 * max(spark.sparkContext.defaultParallelism, 8)
         assert int(spark.conf.get(READ_PART).rstrip("b")) == 48 * 1024**2
         spark.conf.set(LISTING, "77")
         spark.conf.set(READ_PART, "16m")
-        pin_session(spark)
+        size_session(spark)
         assert (spark.conf.get(LISTING), spark.conf.get(READ_PART)) == ("77", "16m")
     finally:
         for key, value in before.items():
